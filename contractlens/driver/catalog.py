@@ -1,4 +1,4 @@
 """Imports every query module so that the registry is complete."""
 
-from contractlens.driver import marts  # noqa: F401
+from contractlens.driver import ingest, marts, relational  # noqa: F401
 from contractlens.driver.registry import ORACLE, QUERIES  # noqa: F401
