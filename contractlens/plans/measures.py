@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from contractlens.functions.scalar import month_index, rate
+from contractlens.functions.scalar import month_index, quotient, rate
 from contractlens.operators.temporal import latest_period
 
 WEIGHT = "net_revenue"
@@ -23,7 +23,9 @@ def _sum(c: str) -> Column:
 
 
 def _weighted(c: str) -> Column:
-    return rate(F.sum(F.col(c) * F.col(WEIGHT)).cast("decimal(38,6)"), F.sum(WEIGHT))
+    # narrow operands leave the quotient enough decimals before it is rounded
+    weighted = F.sum(F.col(c) * F.col(WEIGHT)).cast("decimal(28,6)")
+    return rate(weighted, F.sum(WEIGHT).cast("decimal(20,2)"))
 
 
 
@@ -111,8 +113,9 @@ def renewal_within(rows: DataFrame, days: int = 90) -> DataFrame:
 
 def effect_measures(effect: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Completed actions: count, realized impact, mean indicators and gains."""
-    mean = lambda c: F.avg(c).cast("decimal(18,4)")
-    gain = lambda a, b: ((F.avg(a) - F.avg(b)) * 100).cast("decimal(18,2)")
+    exact = lambda c: quotient(F.sum(c), F.count(c).cast("decimal(18,0)"))
+    mean = lambda c: exact(c).cast("decimal(18,4)")
+    gain = lambda a, b: ((exact(a) - exact(b)) * 100).cast("decimal(18,2)")
     return effect.groupBy(*by).agg(
         F.count("*").alias("completed_actions"),
         F.sum("actual_impact_amount").alias("realized_impact"),

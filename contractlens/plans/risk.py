@@ -6,6 +6,7 @@ per contract, whose size is the contract's number of months.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
@@ -132,7 +133,7 @@ def risk_scores(performance: DataFrame, params: dict | None = None) -> DataFrame
     )
 
 
-def risk_drivers(risk: DataFrame, params: dict | None = None) -> DataFrame:
+def risk_drivers(risk: DataFrame, params: dict | None = None, keep: Sequence[str] = ()) -> DataFrame:
     """Drivers with a score, ranked inside their contract-month.
 
     The fourteen candidates live in the row, so they are ranked by sorting a
@@ -166,7 +167,7 @@ def risk_drivers(risk: DataFrame, params: dict | None = None) -> DataFrame:
             )
         )
     ranked = F.array_sort(F.filter(F.array(*items), lambda d: d["driver_score"] > 0))
-    keys = ["reference_month", "date_key", "contract_key", "contract_code"]
+    keys = ["reference_month", "date_key", "contract_key", "contract_code", *keep]
     return (
         risk.select(*keys, F.posexplode(ranked).alias("_pos", "_d"))
         .select(*keys, "_d.*", (F.col("_pos") + 1).alias("driver_rank"))
