@@ -316,8 +316,8 @@ def action_values(spark, sf):
     with_marts("action", "SELECT contract_key, reference_month, code AS recommended_action_code, CAST(priority AS DOUBLE) AS action_priority_score FROM action"),
 )
 def priority_score(spark, sf):
-    queue = actions_plan.monthly_queue(facts.stored_recommended(spark, sf))
-    return queue.select(*KEYS, "recommended_action_code", "action_priority_score")
+    scored = actions_plan.with_priority(facts.stored_recommended(spark, sf))
+    return scored.select(*KEYS, "recommended_action_code", "action_priority_score")
 
 
 QUEUE_SQL = """
@@ -339,7 +339,7 @@ SELECT contract_key, reference_month, contract_code, risk_class, code AS recomme
     ),
 )
 def current_queue(spark, sf):
-    queue = actions_plan.current_queue(actions_plan.monthly_queue(facts.stored_recommended(spark, sf)))
+    queue = actions_plan.current_queue(actions_plan.monthly_queue(facts.stored_latest(spark, sf)))
     return queue.select(
         *KEYS, "contract_code", "risk_class", "recommended_action_code", "action_impact_amount",
         "action_priority_score", "portfolio_priority_rank",
@@ -369,9 +369,8 @@ def executive_summary(spark, sf):
 
 
 def portfolio(spark, sf):
-    stored = facts.stored_recommended(spark, sf)
-    queue = actions_plan.current_queue(actions_plan.monthly_queue(stored))
-    latest = latest_period(stored, "reference_month")
+    latest = facts.stored_latest(spark, sf)
+    queue = actions_plan.current_queue(actions_plan.monthly_queue(latest))
     return executive_plan.portfolio_snapshot(latest, risk_plan.risk_drivers(latest), queue)
 
 
@@ -443,7 +442,7 @@ FROM (SELECT a.*, code = 'REVIEW_RETROACTIVE' AND EXISTS (
     ),
 )
 def override_closed(spark, sf):
-    queue = actions_plan.monthly_queue(facts.stored_recommended(spark, sf))
+    queue = actions_plan.with_priority(facts.stored_recommended(spark, sf))
     closed = actions_plan.close_completed(queue, facts.management_actions(spark, sf))
     return closed.select(
         *KEYS, "recommended_action_code", "action_impact_amount", "action_recoverability_rate",

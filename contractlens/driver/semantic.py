@@ -263,7 +263,7 @@ SELECT reference_month AS mes_referencia, contract_key AS chave_contrato, contra
     ),
 )
 def bi_queue(spark, sf):
-    return bi.vw_fila_acoes(actions_plan.current_queue(actions_plan.monthly_queue(facts.stored_recommended(spark, sf))))
+    return bi.vw_fila_acoes(actions_plan.current_queue(actions_plan.monthly_queue(facts.stored_latest(spark, sf))))
 
 
 # --- measures ----------------------------------------------------------------
