@@ -10,7 +10,6 @@ from contractlens.driver.facts import ratio_sql, with_marts
 from contractlens.driver.registry import query
 from contractlens.functions.scalar import money
 from contractlens.operators.shape import pivot_max
-from contractlens.operators.temporal import latest_period
 from contractlens.plans import actions as actions_plan
 from contractlens.plans import base as base_plan
 from contractlens.plans import executive as executive_plan
@@ -286,7 +285,7 @@ def driver_rank(spark, sf):
 )
 def top_k_group(spark, sf):
     """Three main drivers per contract at the latest month."""
-    latest = latest_period(facts.risk(spark, sf), "reference_month")
+    latest = facts.latest(facts.risk(spark, sf), spark, sf)
     return risk_plan.risk_drivers(latest).filter("driver_rank <= 3").select(*DRIVER_OUT)
 
 
@@ -421,7 +420,7 @@ FROM action WHERE reference_month = (SELECT MAX(reference_month) FROM action)"""
     ),
 )
 def revenue_at_risk_90d(spark, sf):
-    return executive_plan.revenue_at_risk_90d(latest_period(facts.recommended(spark, sf), "reference_month"))
+    return executive_plan.revenue_at_risk_90d(facts.latest(facts.recommended(spark, sf), spark, sf))
 
 
 @query(

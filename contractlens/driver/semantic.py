@@ -12,7 +12,6 @@ from contractlens.functions.scalar import money, month_of, rate
 from contractlens.plans import actions as actions_plan
 from contractlens.plans import bi, measures
 from contractlens.plans import effect as effect_plan
-from contractlens.operators.temporal import latest_period
 from contractlens.plans import timeline as timeline_plan
 from contractlens.plans.risk import risk_drivers
 from contractlens.session import materialize
@@ -349,7 +348,7 @@ def measure_latest(spark, sf):
         "net_revenue": "Receita Líquida", "recoverable": "Valor Recuperável", "margin_pct": "Margem %",
         "revenue_at_risk": "Receita em Risco", "critical_contracts": "Contratos Críticos", "contracts_with_action": "Contratos com Ação",
     }
-    return measures.latest_measure(facts.recommended(spark, sf), names)
+    return measures.latest_measure(facts.recommended(spark, sf), names, source=facts.lines(spark, sf))
 
 
 @query(
@@ -404,7 +403,7 @@ FROM driver d JOIN action a ON a.contract_key = d.contract_key AND a.reference_m
 )
 def measure_contract360(spark, sf):
     """Latest renewal distance and driver points; impacts repeat across drivers, so never their sum."""
-    latest = latest_period(facts.risk(spark, sf), "reference_month")
+    latest = facts.latest(facts.risk(spark, sf), spark, sf)
     return risk_drivers(latest, keep=["days_to_renewal"]).groupBy("contract_key").agg(
         F.max("days_to_renewal").alias("days_to_renewal"), F.sum("driver_score").alias("driver_points"),
         F.max("estimated_impact_amount").alias("largest_impact"),
@@ -428,7 +427,7 @@ def measure_latest_ops(spark, sf):
 
 
 def _latest(spark, sf, names):
-    return measures.latest_measure(facts.recommended(spark, sf), names)
+    return measures.latest_measure(facts.recommended(spark, sf), names, source=facts.lines(spark, sf))
 
 
 @query(
@@ -456,7 +455,7 @@ FROM action {LATEST} AND days_to_renewal <= 90""",
     ),
 )
 def measure_renewal_90d(spark, sf):
-    return measures.renewal_within(facts.recommended(spark, sf))
+    return measures.renewal_within(facts.recommended(spark, sf), source=facts.lines(spark, sf))
 
 
 @query(

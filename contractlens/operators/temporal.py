@@ -135,6 +135,11 @@ def month_offsets(df: DataFrame, anchors: dict[str, tuple[Column, range]], side:
     return df.withColumn("_slot", F.explode(F.array(*slots))).select("*", f"_slot.{side}", f"_slot.{month}").drop("_slot")
 
 
-def latest_period(df: DataFrame, period: str) -> DataFrame:
-    """Rows of the most recent period present (a scalar subquery, not a join)."""
-    return df.filter(F.col(period) == df.agg(F.max(period)).scalar())
+def latest_period(df: DataFrame, period: str, source: DataFrame | None = None) -> DataFrame:
+    """Rows of the most recent period present (a scalar subquery, not a join).
+
+    ``source`` may name a cheaper frame with the same periods, so that the
+    maximum is found without evaluating ``df`` twice.
+    """
+    newest = (df if source is None else source).agg(F.max(period)).scalar()
+    return df.filter(F.col(period) == newest)

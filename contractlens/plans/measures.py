@@ -71,9 +71,15 @@ def measure(
     return rows.groupBy(*by).agg(*[defined[m].alias(out) for out, m in names.items()])
 
 
-def latest_measure(rows: DataFrame, names: dict[str, str], by: Sequence[str] = (), where: Column | None = None) -> DataFrame:
-    """The same measures at the latest month present."""
-    return measure(latest_period(rows, "reference_month"), names, by, where)
+def latest_measure(
+    rows: DataFrame,
+    names: dict[str, str],
+    by: Sequence[str] = (),
+    where: Column | None = None,
+    source: DataFrame | None = None,
+) -> DataFrame:
+    """The same measures at the latest month present (``source``: cheaper frame with the same months)."""
+    return measure(latest_period(rows, "reference_month", source), names, by, where)
 
 
 def with_prior_month(months: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
@@ -101,9 +107,9 @@ def selected_period(rows: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return rows.groupBy(*by).agg(text.alias("period"))
 
 
-def renewal_within(rows: DataFrame, days: int = 90) -> DataFrame:
+def renewal_within(rows: DataFrame, days: int = 90, source: DataFrame | None = None) -> DataFrame:
     """Latest-month contracts due for renewal; expired ones stay visible."""
-    due = latest_period(rows, "reference_month").filter(F.col("days_to_renewal") <= days)
+    due = latest_period(rows, "reference_month", source).filter(F.col("days_to_renewal") <= days)
     return due.agg(
         F.count("*").alias("contracts"),
         F.coalesce(F.sum("net_revenue"), F.lit(0)).alias("net_revenue"),
