@@ -155,7 +155,7 @@ SELECT m.contract_key, m.reference_month, adjustment_number AS latest_approved_a
 FROM months m LEFT JOIN ranked r ON r.rn = 1 AND r.contract_key = m.contract_key AND r.reference_month = m.reference_month""",
 )
 def asof_last(spark, sf):
-    return performance_plan.with_approved_adjustment(order_months(spark, sf), facts.adjustments(spark, sf))
+    return base_plan.with_approved_adjustment(order_months(spark, sf), facts.adjustments(spark, sf))
 
 
 @query(

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from contractlens import config
 from contractlens.functions.scalar import date_key, month_of, quotient, rate, whole_ratio
+from contractlens.operators.temporal import asof_last_by_month
 
 KEYS = ["contract_key", "reference_month"]
 
@@ -150,16 +151,33 @@ def adjustment_summary(adjustments: DataFrame) -> DataFrame:
     )
 
 
+def with_approved_adjustment(months: DataFrame, adjustments: DataFrame) -> DataFrame:
+    """Latest process approved by month end."""
+    approved = adjustments.filter(F.col("process_status") == "APPROVED").withColumn(
+        "approval_delay_days", F.datediff("approved_date", "expected_date")
+    )
+    return asof_last_by_month(
+        months, approved, ["contract_key"], "reference_month", "approved_date", "adjustment_key",
+        {
+            "adjustment_number": "latest_approved_adjustment_number",
+            "approval_delay_days": "latest_approved_adjustment_delay_days",
+            "retroactive_amount": "latest_approved_retroactive_amount",
+        },
+    )
+
+
 def monthly_base(
     entries: DataFrame, contracts: DataFrame, adjustments: DataFrame, exact_ratio: bool = False
 ) -> DataFrame:
     """Monthly base mart.
 
     ``contracts`` is the contract directory: one row per contract key with its
-    client, service and manager attributes.
+    client, service and manager attributes.  The approved-process state is
+    attached first: its window brings the rows together by contract once, and
+    the joins and windows that follow keep that partitioning.
     """
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
-    months = roll_up(entries).filter("revenue_rows > 0")
+    months = with_approved_adjustment(roll_up(entries).filter("revenue_rows > 0"), adjustments)
     joined = months.join(contracts, "contract_key").join(
         adjustment_summary(adjustments), "contract_key", "left"
     )

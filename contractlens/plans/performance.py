@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from contractlens import config
 from contractlens.functions.scalar import calendar_months_between, positive_part, rate, whole_ratio
-from contractlens.operators.temporal import asof_first, asof_last_by_month
+from contractlens.operators.temporal import asof_first
 
 
 def with_open_adjustment(months: DataFrame, adjustments: DataFrame) -> DataFrame:
@@ -25,21 +25,6 @@ def with_open_adjustment(months: DataFrame, adjustments: DataFrame) -> DataFrame
     )
 
 
-def with_approved_adjustment(months: DataFrame, adjustments: DataFrame) -> DataFrame:
-    """Latest process approved by month end."""
-    approved = adjustments.filter(F.col("process_status") == "APPROVED").withColumn(
-        "approval_delay_days", F.datediff("approved_date", "expected_date")
-    )
-    return asof_last_by_month(
-        months, approved, ["contract_key"], "reference_month", "approved_date", "adjustment_key",
-        {
-            "adjustment_number": "latest_approved_adjustment_number",
-            "approval_delay_days": "latest_approved_adjustment_delay_days",
-            "retroactive_amount": "latest_approved_retroactive_amount",
-        },
-    )
-
-
 def unbilled_scope(planned_hours="planned_hours", regular_hours="regular_hours"):
     """Hours above plan at the contracted hourly price, only if nothing extra was billed.
 
@@ -65,7 +50,7 @@ def delay_exposure(month_end):
 
 def monthly_performance(base: DataFrame, adjustments: DataFrame, exact_ratio: bool = False) -> DataFrame:
     """Performance mart: base rows plus exposures and as-of adjustments."""
-    months = with_approved_adjustment(with_open_adjustment(base, adjustments), adjustments)
+    months = with_open_adjustment(base, adjustments)
     month_end = F.last_day("reference_month")
     overrun = F.greatest(F.col("regular_hours") - F.col("planned_hours"), F.lit(0))
     target = F.col("net_revenue") * F.col("target_margin_pct")

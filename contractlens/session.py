@@ -21,8 +21,6 @@ def local_session(cpus: int | str = "*", app_name: str = "contractlens") -> Spar
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        # wide rows: methods the JVM would refuse to compile run faster without stage fusion
-        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "8g")
         .getOrCreate()
