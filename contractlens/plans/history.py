@@ -231,3 +231,19 @@ def operation_template(operations: DataFrame) -> DataFrame:
         F.col("planned_hours").alias("baseline_planned_hours"),
         F.col("emergency_coverage_cost").alias("baseline_emergency_coverage_cost"),
     )
+
+
+def contract_profile(profile: DataFrame, incident_types: DataFrame) -> DataFrame:
+    """Resolve the primary and secondary incident type of each contract.
+
+    Types are named by category, subcategory and cause; a contract whose names
+    are not registered is left out.
+    """
+    names = ("incident_category", "incident_subcategory", "root_cause")
+    out = profile
+    for role in ("primary", "secondary"):
+        side = incident_types.select(
+            *[F.col(n).alias(f"{role}_{n}") for n in names], F.col("incident_type_key").alias(f"{role}_incident_type_key")
+        )
+        out = out.join(side, [f"{role}_{n}" for n in names])
+    return out.drop(*[f"{role}_{n}" for role in ("primary", "secondary") for n in names])
