@@ -368,7 +368,8 @@ def executive_summary(spark, sf):
 
 
 def portfolio(spark, sf):
-    latest = facts.stored_latest(spark, sf)
+    inputs = dict.fromkeys([*facts.QUEUE_INPUTS, *executive_plan.PORTFOLIO_RISK_COLUMNS, *risk_plan.DRIVER_INPUTS])
+    latest = facts.stored_latest(spark, sf, inputs)
     queue = actions_plan.current_queue(actions_plan.monthly_queue(latest))
     return executive_plan.portfolio_snapshot(latest, risk_plan.risk_drivers(latest), queue)
 

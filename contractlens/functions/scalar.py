@@ -18,6 +18,11 @@ def money(c) -> Column:
     return _c(c).cast("decimal(18,2)")
 
 
+def exposure(c) -> Column:
+    """Exact six-decimal amount that still fits a primitive long (below a trillion)."""
+    return _c(c).cast("decimal(18,6)")
+
+
 def rate(numerator, denominator) -> Column:
     """True ratio with four decimals; NULL when the denominator is zero or NULL."""
     return quotient(numerator, denominator).cast("decimal(18,4)")

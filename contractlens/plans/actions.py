@@ -65,7 +65,7 @@ def by_action(values: dict, otherwise) -> Column:
 def action_impact() -> Column:
     c = F.col
     yearly = F.when(c("contribution_margin") < 0, F.abs("contribution_margin")).otherwise(c("margin_leakage_amount"))
-    exact = "decimal(38,6)"
+    exact = "decimal(18,6)"
     return by_action(
         {
             "ASSESS_NON_RENEWAL": (yearly * 12).cast(exact),
@@ -166,6 +166,8 @@ QUEUE_COLUMNS = [
     "owner_area", "action_impact_amount", "action_recoverability_rate", "action_recoverable_amount",
     "action_urgency_score", "action_priority_score", "action_reason_pt",
 ]
+# Added by monthly_queue; the rest comes with the recommended rows.
+QUEUE_ADDED = ("recommended_action_name_pt", "owner_area", "action_priority_score", "action_reason_pt")
 
 
 def monthly_queue(actions: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contractlens import config
-from contractlens.functions.scalar import date_key, month_of, quotient, rate, whole_ratio
+from contractlens.functions.scalar import date_key, money, month_of, quotient, rate, whole_ratio
 from contractlens.operators.temporal import asof_last_by_month
 
 KEYS = ["contract_key", "reference_month"]
@@ -145,7 +145,7 @@ def adjustment_summary(adjustments: DataFrame) -> DataFrame:
     return adjustments.groupBy("contract_key").agg(
         F.count_if(is_open).alias("open_adjustment_count"),
         F.max(F.when(is_open, F.col("expected_date"))).alias("latest_open_adjustment_expected_date"),
-        F.sum(amount_if(F.col("process_status") == "APPROVED", F.col("retroactive_amount"))).alias(
+        money(F.sum(amount_if(F.col("process_status") == "APPROVED", F.col("retroactive_amount")))).alias(
             "approved_retroactive_amount"
         ),
     )
@@ -185,7 +185,8 @@ def monthly_base(
         "total_cost", "budget_cost", "extraordinary_cost", *OPERATION_MEASURES, *INCIDENT_MEASURES,
         "open_adjustment_count", "approved_retroactive_amount",
     ]
-    margin = F.col("net_revenue") - F.col("total_cost")
+    # amounts stay decimal(18,2): wider decimals are copied as byte arrays, row by row
+    margin = money(F.col("net_revenue") - F.col("total_cost"))
     margin_pct = quotient(margin, "net_revenue")
     return (
         joined.withColumns({c: zero(c) for c in zero_filled})

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contractlens import config
-from contractlens.functions.scalar import money
+from contractlens.functions.scalar import exposure, money
 from contractlens.operators.shape import unpivot_structs
 
 BRIDGE_KEYS = ["reference_month", "date_key", "contract_key", "contract_code"]
@@ -32,7 +32,7 @@ def loss_bridge(performance: DataFrame, causes=config.LOSS_CAUSES) -> DataFrame:
                 (amount > 0).alias("is_loss"),
                 money(amount).alias("loss_amount"),
                 share.cast("decimal(9,4)").alias("recovery_rate"),
-                money(amount * share).alias("recoverable_amount"),
+                money(exposure(amount * share)).alias("recoverable_amount"),
                 F.lit(note).alias("calculation_note"),
             )
         )
@@ -48,22 +48,31 @@ def loss_of(code: str) -> Column:
 
 def recoverable_of(code: str, rate: str) -> Column:
     amount = F.col(config.LOSS_AMOUNT_COLUMNS[code])
-    return F.when(amount > 0, money(amount * F.lit(Decimal(rate)))).otherwise(F.lit(0).cast("decimal(18,2)"))
+    return F.when(amount > 0, money(exposure(amount * F.lit(Decimal(rate))))).otherwise(F.lit(0).cast("decimal(18,2)"))
 
 
 def with_loss_columns(performance: DataFrame, causes=config.LOSS_CAUSES) -> DataFrame:
-    """The same bridge kept wide, so later steps need no join back to it."""
-    losses = {code: loss_of(code) for code, *_ in causes}
-    total = lambda codes: sum((losses[c] for c in codes), F.lit(0).cast("decimal(18,2)"))
-    every = [c for c, *_ in causes]
-    estimates = [c for c, _, _, _, is_estimate, _ in causes if is_estimate]
-    recoverable = sum((recoverable_of(c, r) for c, _, r, *_ in causes), F.lit(0).cast("decimal(18,2)"))
-    return performance.withColumns(
-        {f"loss_{code}": amount for code, amount in losses.items()}
-        | {
-            "identified_loss_amount": total(every),
-            "direct_loss_amount": total([c for c in every if c not in estimates]),
-            "estimated_exposure_amount": total(estimates),
-            "recoverable_amount": recoverable,
-        }
+    """The same bridge kept wide, so later steps need no join back to it.
+
+    Amounts are rounded once per cause; the totals add the rounded columns.
+    """
+    losses = {f"loss_{code}": loss_of(code) for code, *_ in causes}
+    shares = {f"_share_{code}": recoverable_of(code, rate) for code, _, rate, *_ in causes}
+    estimates = {f"loss_{c}" for c, _, _, _, is_estimate, _ in causes if is_estimate}
+
+    def total(columns) -> Column:
+        first, *rest = [F.col(c) for c in columns]
+        return sum(rest, first).cast("decimal(18,2)")
+
+    return (
+        performance.withColumns(losses | shares)
+        .withColumns(
+            {
+                "identified_loss_amount": total(losses),
+                "direct_loss_amount": total(c for c in losses if c not in estimates),
+                "estimated_exposure_amount": total(c for c in losses if c in estimates),
+                "recoverable_amount": total(shares),
+            }
+        )
+        .drop(*shares)
     )

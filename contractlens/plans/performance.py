@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contractlens import config
-from contractlens.functions.scalar import calendar_months_between, positive_part, rate, whole_ratio
+from contractlens.functions.scalar import (
+    calendar_months_between, exposure, money, positive_part, rate, whole_ratio,
+)
 from contractlens.operators.temporal import asof_first
 
 
@@ -33,7 +35,7 @@ def unbilled_scope(planned_hours="planned_hours", regular_hours="regular_hours")
     planned, regular = F.col(planned_hours), F.col(regular_hours)
     value = (regular - planned) * F.col("contracted_amount") / F.nullif(planned, F.lit(0))
     billed_nothing = F.coalesce(F.col("additional_services"), F.lit(0)) == 0
-    return F.when((regular > planned) & billed_nothing, value).otherwise(F.lit(0)).cast("decimal(38,6)")
+    return F.when((regular > planned) & billed_nothing, value).otherwise(F.lit(0)).cast("decimal(18,6)")
 
 
 def delay_exposure(month_end):
@@ -45,26 +47,26 @@ def delay_exposure(month_end):
         * F.coalesce(F.col("open_adjustment_requested_pct"), F.lit(0))
         * months_open
     )
-    return F.when(expected.isNotNull(), amount).otherwise(F.lit(0))
+    return exposure(F.when(expected.isNotNull(), amount).otherwise(F.lit(0)))
 
 
 def monthly_performance(base: DataFrame, adjustments: DataFrame, exact_ratio: bool = False) -> DataFrame:
     """Performance mart: base rows plus exposures and as-of adjustments."""
     months = with_open_adjustment(base, adjustments)
     month_end = F.last_day("reference_month")
-    overrun = F.greatest(F.col("regular_hours") - F.col("planned_hours"), F.lit(0))
-    target = F.col("net_revenue") * F.col("target_margin_pct")
+    overrun = money(F.greatest(F.col("regular_hours") - F.col("planned_hours"), F.lit(0)))
+    target = exposure(F.col("net_revenue") * F.col("target_margin_pct"))
     expected = F.col("open_adjustment_expected_date")
     return months.withColumns(
         {
             "reference_month_end": month_end,
             "days_to_renewal": F.datediff("renewal_date", month_end),
-            "overtime_excess_cost": positive_part(F.col("overtime_cost") - F.col("overtime_budget")),
-            "emergency_coverage_excess_cost": positive_part(
-                F.col("emergency_coverage_cost_accounting") - F.col("emergency_coverage_budget")
+            "overtime_excess_cost": money(positive_part(F.col("overtime_cost") - F.col("overtime_budget"))),
+            "emergency_coverage_excess_cost": money(
+                positive_part(F.col("emergency_coverage_cost_accounting") - F.col("emergency_coverage_budget"))
             ),
             "target_margin_amount": target,
-            "margin_leakage_amount": positive_part(target - F.col("contribution_margin")),
+            "margin_leakage_amount": exposure(positive_part(target - F.col("contribution_margin"))),
             "extraordinary_cost_rate": rate("extraordinary_cost", "net_revenue"),
             "commercial_discount_rate": rate("commercial_discounts", "gross_revenue"),
             "vacancy_rate": rate(F.col("open_positions").cast("decimal(18,0)"), "planned_positions"),
@@ -75,7 +77,7 @@ def monthly_performance(base: DataFrame, adjustments: DataFrame, exact_ratio: bo
             ),
             "unbilled_scope_estimate": unbilled_scope(),
             "recurrence_rate": whole_ratio("recurrent_incident_count", "incident_count", exact_ratio),
-            "sla_financial_loss": F.col("sla_deduction_amount") + F.col("sla_penalty_amount"),
+            "sla_financial_loss": money(F.col("sla_deduction_amount") + F.col("sla_penalty_amount")),
             "adjustment_overdue_days": F.coalesce(F.datediff(month_end, expected), F.lit(0)),
             "adjustment_delay_estimate": delay_exposure(month_end),
         }
