@@ -85,7 +85,7 @@ def encode(docs: DataFrame, model: str, text: str = "text", keep: Sequence[str]
     """
     small_batches(docs.sparkSession)
     names = list(keep)
-    schema = T.StructType([docs.schema[n] for n in names]).add("ids", "array<int>").add("decoded", "string")
+    schema = T.StructType([docs.schema[n] for n in names]).add("ids", T.ArrayType(T.IntegerType())).add("decoded", "string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(model)

@@ -73,7 +73,7 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_norm_topk", """
 with usable as (
   select vec_id, [cast(floor(1024 * cast(x as double)) as bigint) for x in embedding] as v from embeddings
-  where embedding is not null and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0),
+  where embedding is not null and len([1 for x in embedding if x is null or not isfinite(x)]) = 0),
 scored as (
   select q.vec_id as query_id, c.vec_id, cast(list_dot_product(cast(q.v as double[]), cast(c.v as double[])) as bigint) as score
   from usable q join usable c on q.vec_id % 100 = 0 and c.vec_id <> q.vec_id)
