@@ -10,7 +10,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contractlens.llm import adaptive_quality, fair_queue, norm_topk, piece_codec, warc_index
+from contractlens.llm import (
+    adaptive_quality, dart_minhash, fair_queue, language_mixture, norm_topk, parse_dedup, piece_codec, warc_index,
+)
 from contractlens.llm.common import table, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +38,33 @@ def piece_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+@query("op1_language_mixture")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = language_mixture.is_held_out(F.col("doc_id"))
+    model = language_mixture.learn(docs.filter(~held_out))
+    found = language_mixture.predict(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "langs", "shares")
+
+
+@query("op2_dart_minhash")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dart_minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op3_parse_dedup")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = parse_dedup.repeated_spans(table(spark, sf_dir, "documents"))
+    length = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        F.coalesce(length, F.lit(0)).cast("long").alias("n_removed"),
+        F.greatest(F.coalesce(F.size("spans"), F.lit(0)), F.lit(0)).cast("long").alias("n_spans"),
+        F.coalesce(F.sha2("kept", 256), F.col("whole_sha256")).alias("kept_sha256"),
+    )
+
+
 @query("op4_fair_queue_mix", fair_queue.oracle(DUCK_WORDS))
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("size"))

@@ -5,16 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contractlens.llm import adaptive_quality, fair_queue, piece_codec
+from contractlens.llm import adaptive_quality, dart_minhash, fair_queue, parse_dedup, piece_codec
 from contractlens.llm.common import DOCUMENT_COLUMNS, materialize, table, word_count
 from contractlens.llm.queries import piece_model
 
+PASSAGE_BYTES = 300  # about fifty words
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 7: documents that the rules reject go."""
     return adaptive_quality.judge(docs).filter("kept").select(*DOCUMENT_COLUMNS)
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 2: of each class of near copies the document with the smallest id stays."""
+    classes = dart_minhash.near_duplicates(docs)
+    return docs.join(classes.filter("class_id <> doc_id").select("doc_id"), "doc_id", "left_anti").select(*DOCUMENT_COLUMNS)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 3: passages that repeat within or across documents are cut out; the documents stay."""
+    cut = parse_dedup.without_repeats(docs, length=PASSAGE_BYTES)
+    return cut.withColumn("n_chars", F.length("text").cast("long")).select(*DOCUMENT_COLUMNS)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 4: every document as often as the mix serves it."""
     mixed = fair_queue.fair_mix(docs, word_count(F.col("text")))
@@ -26,7 +40,13 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return piece_codec.encode(docs, piece_model(), keep=("doc_id", "lang", "source"))
 
 
-STAGES = [("quality_rules", quality), ("mix_sources", mix), ("encode_pieces", encode)]
+STAGES = [
+    ("quality_rules", quality),
+    ("near_copies", near_copies),
+    ("repeated_passages", repeated_passages),
+    ("mix_sources", mix),
+    ("encode_pieces", encode),
+]
 ORACLE_SQL = None  # the stages on shingles, darts and pieces have no SQL form; tests hold them to brute force
 
 
