@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contractlens.llm import (
-    adaptive_quality, dart_minhash, fair_queue, language_mixture, norm_topk, parse_dedup, piece_codec, warc_index,
+    adaptive_quality, dart_minhash, fair_queue, language_mixture, licence_scan, norm_topk, parse_dedup, piece_codec,
+    quote_threads, warc_index,
 )
 from contractlens.llm.common import table, word_count
 
@@ -110,3 +111,22 @@ select query_id, cast(row_number() over (partition by query_id order by score de
 from scored qualify rank <= 10""")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return norm_topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 10)
+
+
+@query("op9_licence_scan", licence_scan.oracle())
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licence_scan.by_document(table(spark, sf_dir, "documents"))
+
+
+# The SQL says what remains of the operator where no message quotes; quotations are held to a brute-force version in the tests.
+@query("op10_quote_threads", r"""
+select conv_id, turn, role,
+  case when before is not null then conv_id end as reply_conv, before as reply_turn, false as linked,
+  cast(0 as bigint) as n_levels, cast(0 as bigint) as n_quoted, body, '<|' || coalesce(role, '') || '|>' || chr(10) || body as formatted
+from (
+  select *, max(turn) over (partition by conv_id order by turn range between unbounded preceding and 1 preceding) as before,
+    regexp_replace(regexp_replace(coalesce(text, ''), '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', '') as body
+  from conversations)
+where not regexp_matches(coalesce(text, ''), '(?m)^[\x20\x09-\x0D]*>')""".replace("\\\\", "\\"))
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quote_threads.thread(table(spark, sf_dir, "conversations"))
