@@ -126,7 +126,6 @@ select conv_id, turn, role,
 from (
   select *, max(turn) over (partition by conv_id order by turn range between unbounded preceding and 1 preceding) as before,
     regexp_replace(regexp_replace(coalesce(text, ''), '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', '') as body
-  from conversations)
-where not regexp_matches(coalesce(text, ''), '(?m)^[\x20\x09-\x0D]*>')""".replace("\\\\", "\\"))
+  from conversations)""")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quote_threads.thread(table(spark, sf_dir, "conversations"))
