@@ -18,9 +18,14 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 2: of each class of near copies the document with the smallest id stays."""
+    """Operator 2: of each class of near copies the document with the smallest id stays, once.
+
+    Rows without id belong to no class and stay.
+    """
     classes = dart_minhash.near_duplicates(docs)
-    return docs.join(classes.filter("class_id <> doc_id").select("doc_id"), "doc_id", "left_anti").select(*DOCUMENT_COLUMNS)
+    first = docs.join(classes.filter("class_id <> doc_id").select("doc_id"), "doc_id", "left_anti")
+    own = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
+    return first.withColumn("_own", own).dropDuplicates(["doc_id", "_own"]).select(*DOCUMENT_COLUMNS)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
