@@ -36,7 +36,7 @@ def word_count(text: Column) -> Column:
 
 def small_batches(spark: SparkSession) -> None:
     """Bound what one Arrow batch holds, whatever the length of its texts."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "256")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
 
 
 def text_blocks(batch: pa.RecordBatch, column: str, size: int = 1 << 20) -> Iterator[tuple[int, list[str]]]:
