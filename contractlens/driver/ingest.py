@@ -207,7 +207,7 @@ def datediff_day(spark, sf):
 
 def _line_dates(spark, sf):
     return table(spark, sf, "lineitem").join(
-        table(spark, sf, "orders").hint("shuffle_hash"), F.col("l_orderkey") == F.col("o_orderkey")
+        table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
     )
 
 

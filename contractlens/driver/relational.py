@@ -204,7 +204,7 @@ def star_join(spark, sf):
     ).select("c_custkey", "c_mktsegment", "r_name")
     return (
         table(spark, sf, "lineitem")
-        .join(table(spark, sf, "orders").hint("shuffle_hash"), F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(client, F.col("o_custkey") == F.col("c_custkey"))
         .groupBy("r_name", "c_mktsegment", month_of("o_orderdate").alias("reference_month"))
         .agg(F.count("*").alias("lines"), F.sum(F.col("l_extendedprice").cast("decimal(12,2)")).alias("gross_revenue"))
@@ -224,7 +224,7 @@ def multi_fact_left(spark, sf):
         F.lit(1).alias("revenue_rows"), F.col("total").alias("net_revenue"),
     )
     cost = table(spark, sf, "lineitem").join(
-        table(spark, sf, "orders").hint("shuffle_hash"), F.col("l_orderkey") == F.col("o_orderkey")
+        table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
     ).select(
         F.col("o_custkey").alias("contract_key"), month_of("l_shipdate").alias("reference_month"),
         money("l_extendedprice").alias("total_cost"),
@@ -246,7 +246,7 @@ def dependent_lookup(spark, sf):
     supplier = table(spark, sf, "supplier")
     lines = (
         table(spark, sf, "lineitem")
-        .join(table(spark, sf, "orders").hint("shuffle_hash"), F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
     )
     both = (F.col("s_suppkey") == F.col("l_suppkey")) & (F.col("s_nationkey") == F.col("c_nationkey"))
@@ -299,7 +299,7 @@ SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, vers
 def effective_dated_join(spark, sf):
     lines = (
         table(spark, sf, "lineitem")
-        .join(table(spark, sf, "orders").hint("shuffle_hash"), F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .select("l_orderkey", "l_linenumber", "l_partkey", F.col("o_custkey").alias("contract_key"), F.col("l_shipdate").cast("date").alias("day"))
     )
     joined = temporal.effective_dated_join(lines, order_versions(spark, sf), ["contract_key"], "day", columns=["version_key"])
@@ -516,7 +516,7 @@ def global_agg(spark, sf):
 )
 def ratio_of_sums(spark, sf):
     price = F.col("l_extendedprice").cast("decimal(12,2)")
-    lines = table(spark, sf, "lineitem").join(table(spark, sf, "orders").hint("shuffle_hash"), F.col("l_orderkey") == F.col("o_orderkey"))
+    lines = table(spark, sf, "lineitem").join(table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
     return lines.groupBy(month_of("o_orderdate").alias("reference_month")).agg(
         rate(F.sum(money(price * F.col("l_discount").cast("decimal(4,2)"))), F.sum(price)).alias("discount_share")
     )
