@@ -26,6 +26,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 ROWS, BANDS = 5, 24  # a pair at the threshold shares no band with probability below 1e-4
 COORDINATES = ROWS * BANDS
+BLOCK_TEXTS, BLOCK_CHARS = 192, 4_000_000
+COLUMNS = 16_384  # of a matrix product at a time
 DARTS = COORDINATES * (np.log(COORDINATES) + 2)  # expected below the first rank limit
 
 
@@ -94,7 +96,7 @@ def bands_of(sign: np.ndarray) -> np.ndarray:
 
 
 def sign_documents(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """doc_id, `copy` (128-bit hash of the word sequence) and `bands`; both NULL for a text without words."""
+    """id, size, `copy` (128-bit hash of the word sequence) and `bands`; the last two NULL for a text without words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -102,10 +104,13 @@ def sign_documents(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
                 sign, signed = signatures(texts)
                 keys = bands_of(sign).tolist()
                 copies = [xxhash.xxh3_128_digest(" ".join(WORD_RE.findall(t)).encode("utf-8", "surrogatepass")) if s else None for t, s in zip(texts, signed)]
-                made = [pa.array(copies, pa.binary()), pa.array([k if s else None for k, s in zip(keys, signed)], pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays([batch.column("id").slice(first, len(texts)), *made], ["id", "copy", "bands"])
+                bands = [k if s else None for k, s in zip(keys, signed)]
+                made = [pa.array(map(len, texts), pa.int64()), pa.array(copies, pa.binary()), pa.array(bands, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays([batch.column("id").slice(first, len(texts)), *made], ["id", "size", "copy", "bands"])
 
-    return docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).mapInArrow(run, "id long, copy binary, bands array<long>")
+    return docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).mapInArrow(
+        run, "id long, size long, copy binary, bands array<long>"
+    )
 
 
 def similarities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,6 +143,72 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
     return both.mapInArrow(similarities, "a long, b long, similarity double").filter(F.col("similarity") >= similarity)
 
 
+def block_links(threshold: float):
+    """(left block, right block) rows -> links between classes, no more than join them.
+
+    All similarities of two blocks come from one matrix product: a text is a 0/1
+    row over (shingle, occurrence), so a product of rows is the common weight.
+    """
+
+    def rows_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        owner, shingle, count = elements(texts)
+        nth = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        return np.repeat(owner, count), mix(np.repeat(shingle, count) + nth.astype(np.uint64)), np.bincount(owner, count, minlength=len(texts))
+
+    def links(left: list[dict], right: list[dict]) -> Iterator[tuple[int, int]]:
+        (i, x, n), (j, y, m) = rows_of([r["text"] for r in left]), rows_of([r["text"] for r in right])
+        both = np.intersect1d(x, y)
+        common = np.zeros((len(left), len(right)))
+        for at in range(0, len(both), COLUMNS):
+            part = both[at : at + COLUMNS]
+            dense = []
+            for rows, keys, height in ((i, x, len(left)), (j, y, len(right))):
+                column = np.minimum(np.searchsorted(part, keys), len(part) - 1)
+                found = part[column] == keys
+                matrix = np.zeros((height, len(part)), np.float32)
+                matrix[rows[found], column[found]] = 1
+                dense.append(matrix)
+            common += dense[0] @ dense[1].T
+        alike = common >= threshold * (n[:, None] + m[None, :] - common) - 1e-9
+        group = {r["class_id"]: r["class_id"] for r in left + right}
+        for a, b in zip(*np.nonzero(alike)):
+            ends = []
+            for c in (left[a]["class_id"], right[b]["class_id"]):
+                while group[c] != c:
+                    group[c] = c = group[group[c]]
+                ends.append(c)
+            if ends[0] != ends[1]:
+                group[max(ends)] = min(ends)
+                yield left[a]["id"], right[b]["id"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                found = list(links(batch.column("left")[row].as_py(), batch.column("right")[row].as_py()))
+                yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    return run
+
+
+def links_between_classes(open_: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Links between different classes of one bucket, complete.
+
+    ``open_`` has bucket, id, size, class_id.  A bucket is cut into blocks of
+    about BLOCK_TEXTS texts or BLOCK_CHARS characters, and every two blocks meet
+    in a row of their own, so that a large bucket is spread over many tasks.
+    """
+    parts = open_.groupBy("bucket").agg(
+        F.ceil(F.greatest(F.count("*") / BLOCK_TEXTS, F.sum("size") / BLOCK_CHARS)).cast("int").alias("parts")
+    )
+    member = F.struct("id", "class_id", "text").alias("member")
+    placed = open_.join(parts, "bucket").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    blocks = placed.join(texts, "id").groupBy("bucket", "part", "parts").agg(F.collect_list(member).alias("members"))
+    blocks = materialize(blocks, "blocks")
+    left = blocks.select("bucket", F.col("members").alias("left"), F.explode(F.sequence("part", F.col("parts") - 1)).alias("part"))
+    pairs = left.join(blocks.select("bucket", "part", F.col("members").alias("right")), ["bucket", "part"])
+    return pairs.select("left", "right").mapInArrow(block_links(similarity), "a long, b long")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Edges (a, b) -> (id, class_id): the smallest id each one is connected with.
 
@@ -172,16 +243,16 @@ def near_duplicates(
     empty table gives no rows.  Other columns play no part.
 
     Only one text of each group of copies is compared.  Each bucket first tries
-    its members against its smallest id, which joins a large group by as many
-    links as it has members; pairs of a bucket that are still in different
-    classes are then all compared, so no link between classes is lost.
+    its members against its smallest id, which settles nearly all of them; in a
+    bucket that then still holds different classes all texts are compared, block
+    by block, and only links that join classes leave the task.
     """
     small_batches(docs.sparkSession)
     signed = materialize(sign_documents(docs, doc_id, text), "signed")
     copies = signed.filter("copy is not null and id is not null").groupBy("copy").agg(F.min("id").alias("copy_id"))
     copies = materialize(copies, "copies")
     kept = signed.join(copies.select("copy", F.col("copy_id").alias("id")), ["copy", "id"]).dropDuplicates(["id"])
-    entries = kept.select("id", F.explode("bands").alias("bucket"))
+    entries = kept.select("id", "size", F.explode("bands").alias("bucket"))
     shared = entries.groupBy("bucket").agg(F.count("*").alias("n"), F.min("id").alias("leader")).filter("n > 1")
     buckets = materialize(entries.join(shared.drop("n"), "bucket"), "buckets")
     wanted = buckets.select("id").distinct()
@@ -191,15 +262,10 @@ def near_duplicates(
     pairs = buckets.filter("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
     first = materialize(verified(pairs, texts, similarity).select("a", "b"), "links")
     label = components(first)
-    placed = buckets.select("bucket", "id").join(label, "id", "left").withColumn("class_id", F.coalesce("class_id", "id"))
+    placed = buckets.select("bucket", "id", "size").join(label, "id", "left").withColumn("class_id", F.coalesce("class_id", "id"))
     mixed = placed.groupBy("bucket").agg(F.min("class_id").alias("_x"), F.max("class_id").alias("_y")).filter("_x <> _y")
     open_ = materialize(placed.join(mixed.select("bucket"), "bucket", "left_semi"), "open")
-    groups = open_.select("bucket", "class_id").distinct()
-    meet = groups.withColumnRenamed("class_id", "c").join(groups.withColumnRenamed("class_id", "d"), "bucket").filter("c < d")
-    side = lambda c, i: open_.select("bucket", F.col("class_id").alias(c), F.col("id").alias(i))
-    cross = meet.join(side("c", "a"), ["bucket", "c"]).join(side("d", "b"), ["bucket", "d"])
-    cross = cross.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    second = materialize(verified(cross, texts, similarity).select("a", "b"), "links")
+    second = materialize(links_between_classes(open_, texts, similarity), "links")
     label = components(first.unionByName(second)).withColumnRenamed("id", "copy_id")
     named = signed.join(copies, "copy", "left").withColumn("copy_id", F.coalesce("copy_id", "id"))
     return named.join(label, "copy_id", "left").select(
