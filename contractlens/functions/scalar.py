@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterable, Mapping
+from functools import cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -19,8 +21,8 @@ def money(c) -> Column:
 
 
 def exposure(c) -> Column:
-    """Exact six-decimal amount that still fits a primitive long (below a trillion)."""
-    return _c(c).cast("decimal(18,6)")
+    """Exact six-decimal amount, wide enough for a product of any stored amount and rate."""
+    return _c(c).cast("decimal(28,6)")
 
 
 def rate(numerator, denominator) -> Column:
@@ -56,18 +58,27 @@ def normalize_code(c) -> Column:
     return F.nullif(F.upper(F.trim(_c(c))), F.lit(""))
 
 
-# Accented letters and what they fold to.
-ACCENTED = "ÁÀÂÃÄÅÉÈÊËÍÌÎÏÓÒÔÕÖÚÙÛÜÇÑÝ"
-UNACCENTED = "AAAAAAEEEEIIIIOOOOOUUUUCNY"
+@cache
+def accents() -> tuple[str, str]:
+    """Every letter that decomposes into one base letter and combining marks, and that base letter."""
+    marked, plain = [], []
+    for code in range(0xC0, 0x2000):
+        base, *marks = unicodedata.normalize("NFD", chr(code))
+        if marks and all(unicodedata.combining(m) for m in marks) and base.isalpha():
+            marked.append(chr(code))
+            plain.append(base)
+    return "".join(marked), "".join(plain)
 
 
 def fold(c) -> Column:
     """Key for accent- and case-insensitive equality.
 
-    A folded key is a plain string, so it hashes, shuffles and broadcasts like
-    any other join key.
+    Combining marks go and accented letters become their base letter, however
+    the accent is written.  A folded key is a plain string, so it hashes,
+    shuffles and broadcasts like any other join key.
     """
-    return F.translate(F.upper(F.trim(_c(c))), ACCENTED, UNACCENTED)
+    upper = F.upper(F.trim(_c(c)))
+    return F.when(upper.rlike(r"[^\x00-\x7F]"), F.translate(F.regexp_replace(upper, r"\p{Mn}+", ""), *accents())).otherwise(upper)
 
 
 def code_lookup(c, words: Mapping[str, str]) -> Column:

@@ -65,7 +65,7 @@ def by_action(values: dict, otherwise) -> Column:
 def action_impact() -> Column:
     c = F.col
     yearly = F.when(c("contribution_margin") < 0, F.abs("contribution_margin")).otherwise(c("margin_leakage_amount"))
-    exact = "decimal(18,6)"
+    exact = "decimal(28,6)"
     return by_action(
         {
             "ASSESS_NON_RENEWAL": (yearly * 12).cast(exact),

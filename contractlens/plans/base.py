@@ -42,12 +42,11 @@ COUNTS = {
 
 
 def hundredths(c) -> Column:
-    """Two-decimal amount as a whole number of hundredths.
+    """Two-decimal amount as a whole number of hundredths, exact for every amount of the type.
 
-    Whole numbers add up exactly and much faster than wide decimals; amounts
-    of one entry stay exact up to 90 trillion.
+    Whole numbers add up exactly and much faster than wide decimals.
     """
-    return F.round((F.col(c) if isinstance(c, str) else c).cast("double") * 100).cast("long")
+    return ((F.col(c) if isinstance(c, str) else c).cast("decimal(18,2)") * 100).cast("long")
 
 
 def amount_if(condition, amount):
@@ -128,7 +127,7 @@ def roll_up(entries: DataFrame) -> DataFrame:
         *[F.sum(c).alias(c) for c in sums],
         *[agg(src).alias(f"{name}_{src}") for src in averages for name, agg in (("sum", F.sum), ("n", F.count))],
     )
-    whole = lambda c: F.col(c).cast("decimal(18,0)")
+    whole = lambda c: F.col(c).cast("decimal(20,0)")
     return months.select(
         *KEYS,
         *[(F.col(c) if c in COUNTS else (whole(c) / 100).cast("decimal(18,2)")).alias(c) for c in sums],

@@ -13,13 +13,12 @@ AUDIT = (
     "batch_id int, source_name string, rows_received long, rows_loaded long, rows_rejected long, status string, "
     "error_message string"
 )
-MESSAGE_LENGTH = 2000
 
 Job = Callable[[], tuple[DataFrame, DataFrame, DataFrame]]
 
 
 def failed_audit(spark: SparkSession, batch_id: int, source: str, error: Exception) -> DataFrame:
-    row = (batch_id, source, None, None, None, "FAILED", str(error)[:MESSAGE_LENGTH])
+    row = (batch_id, source, None, None, None, "FAILED", str(error))
     return spark.createDataFrame([row], AUDIT)
 
 

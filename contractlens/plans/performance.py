@@ -35,7 +35,7 @@ def unbilled_scope(planned_hours="planned_hours", regular_hours="regular_hours")
     planned, regular = F.col(planned_hours), F.col(regular_hours)
     value = (regular - planned) * F.col("contracted_amount") / F.nullif(planned, F.lit(0))
     billed_nothing = F.coalesce(F.col("additional_services"), F.lit(0)) == 0
-    return F.when((regular > planned) & billed_nothing, value).otherwise(F.lit(0)).cast("decimal(18,6)")
+    return F.when((regular > planned) & billed_nothing, value).otherwise(F.lit(0)).cast("decimal(28,6)")
 
 
 def delay_exposure(month_end):

@@ -163,14 +163,14 @@ def risk_drivers(risk: DataFrame, params: dict | None = None, keep: Sequence[str
         items.append(
             F.struct(
                 (-points).alias("by_score"),
-                (-amount).cast("decimal(18,6)").alias("by_impact"),
+                (-amount).cast("decimal(28,6)").alias("by_impact"),
                 F.lit(code).alias("driver_code"),
                 F.lit(pillar).alias("risk_pillar"),
                 F.lit(name).alias("driver_name_pt"),
                 F.col(observed).cast(value).alias("observed_value"),
-                limit.cast("decimal(18,6)").alias("reference_value"),
+                limit.cast("decimal(28,6)").alias("reference_value"),
                 points.alias("driver_score"),
-                amount.cast("decimal(18,6)").alias("estimated_impact_amount"),
+                amount.cast("decimal(28,6)").alias("estimated_impact_amount"),
             )
         )
     ranked = F.array_sort(F.filter(F.array(*items), lambda d: d["driver_score"] > 0))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from contractlens import config
 from contractlens.functions.parse import parse_localized
 from contractlens.functions.scalar import fold, minutes_between, money, row_hash
-from contractlens.operators.quarantine import split_valid
+from contractlens.operators.quarantine import with_reasons
 from contractlens.operators.shape import duplicate_count
 
 LINEAGE = ["batch_id", "source_row_number"]
@@ -299,8 +299,8 @@ def _attach_references(df: DataFrame, wanted, refs: dict[str, DataFrame]) -> Dat
     return df
 
 
-def stage(source: StagedSource, raw: DataFrame, refs: dict[str, DataFrame], reference_period: str | None = None):
-    """(valid rows, rejected rows) of one raw batch.
+def judge(source: StagedSource, raw: DataFrame, refs: dict[str, DataFrame], reference_period: str | None = None) -> DataFrame:
+    """All rows of one raw batch, typed and looked up, with the joined reasons against them (empty when valid).
 
     ``refs`` holds the dimensions: contracts, clients, units, services,
     managers, roles, categories, incident_types.
@@ -310,11 +310,20 @@ def stage(source: StagedSource, raw: DataFrame, refs: dict[str, DataFrame], refe
     if source.duplicate_key:
         typed = duplicate_count(typed, [F.col(k) for k in source.duplicate_key])
     found = _attach_references(typed, source.references, refs).withColumns(source.derived())
-    valid, rejected = split_valid(found, source.rules())
-    rejected = rejected.select(
+    return with_reasons(found, source.rules())
+
+
+def parts(source: StagedSource, judged: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(valid rows, rejected rows): exact complements of the judged rows."""
+    rejected = judged.filter(F.col("rejection_reason") != "").select(
         *LINEAGE, F.lit(source.name).alias("source_table"), F.col(source.columns[0]).alias("received_value"), "rejection_reason"
     )
-    return _computed(source, valid), rejected
+    return _computed(source, judged.filter(F.col("rejection_reason") == "")), rejected
+
+
+def stage(source: StagedSource, raw: DataFrame, refs: dict[str, DataFrame], reference_period: str | None = None):
+    """(valid rows, rejected rows) of one raw batch; see `judge`."""
+    return parts(source, judge(source, raw, refs, reference_period))
 
 
 def _computed(source: StagedSource, valid: DataFrame) -> DataFrame:

@@ -35,7 +35,7 @@ def work_dir(spark: SparkSession) -> str:
     """
     configured = spark.conf.get(CHECKPOINT_SETTING, None)
     if not configured:
-        if not spark.sparkContext.master.startswith("local"):
+        if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
             raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder every executor can reach")
         configured = tempfile.mkdtemp(prefix="contractlens-")
         spark.conf.set(CHECKPOINT_SETTING, configured)

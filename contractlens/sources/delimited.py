@@ -6,33 +6,50 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from contractlens.plans.staging import StagedSource
+from contractlens.session import materialize
 
 BOM = "﻿"
 
 
 def raw_columns(source: StagedSource) -> list[str]:
-    """Input column of every typed column, in file order."""
+    """Input column of every typed column."""
     return [entry[1] if isinstance(entry, tuple) else name for name, entry in source.typing.items()]
 
 
-def read_delimited(spark: SparkSession, path: str, columns: list[str], batch_id: int) -> DataFrame:
+def read_delimited(
+    spark: SparkSession, path: str, columns: list[str], batch_id: int, multi_line: bool = True
+) -> DataFrame:
     """Semicolon-separated UTF-8 with header; every column text, blank = NULL.
 
-    Adds ``batch_id`` and the 1-based ``source_row_number`` in file order.  A
-    missing file fails at once; an empty one fails here.
+    Columns are found by their name in the header: their order is free, further
+    columns are left out, a missing one is an error.  All files of a folder need
+    the header of the first.  Doubled quotes inside quotes are one quote.  A
+    quoted value may hold line breaks; a file is then read by one task, so give
+    ``multi_line=False`` for large files known to have none.
+
+    Adds ``batch_id`` and the 1-based ``source_row_number`` in record order.  A
+    missing file fails at once; one without records fails here.  The text is
+    parsed once and kept as a cut point.
     """
-    schema = ", ".join(f"`{c}` string" for c in columns)
+    options = {"sep": ";", "header": True, "encoding": "UTF-8", "quote": '"', "escape": '"', "multiLine": multi_line}
+    header = spark.read.options(**options).csv(path).columns
+    named = {h.replace(BOM, "").strip(): h for h in header}
+    absent = [c for c in columns if c not in named]
+    if absent:
+        raise ValueError(f"{path} has no column {', '.join(absent)}")
+    schema = ", ".join(f"`{h}` string" for h in header)
     block = F.struct(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"))
-    rows = (
+    clean = [F.nullif(F.trim(F.col(f"`{named[c]}`")), F.lit("")).alias(c) for c in columns]
+    parsed = (
         spark.read.schema(schema)
-        .options(sep=";", header=True, encoding="UTF-8", enforceSchema=True, quote='"')
+        .options(**options, enforceSchema=False)
         .csv(path)
-        .select(*columns, block.alias("_block"), F.monotonically_increasing_id().alias("_at"))
+        .select(*clean, block.alias("_block"), F.monotonically_increasing_id().alias("_at"))
     )
+    rows = materialize(parsed, "raw")
     if rows.isEmpty():
         raise ValueError(f"no rows in {path}")
-    clean = [F.nullif(F.trim(F.ltrim(F.replace(F.col(c), F.lit(BOM), F.lit("")))), F.lit("")).alias(c) for c in columns]
-    return number_rows(rows).select(F.lit(batch_id).alias("batch_id"), "source_row_number", *clean)
+    return number_rows(rows).select(F.lit(batch_id).alias("batch_id"), "source_row_number", *columns)
 
 
 def number_rows(rows: DataFrame) -> DataFrame:
@@ -45,9 +62,11 @@ def number_rows(rows: DataFrame) -> DataFrame:
     earlier = Window.partitionBy("_block.path").orderBy("_block.start").rowsBetween(Window.unboundedPreceding, -1)
     placed = blocks.select("_block", "_first", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"))
     number = F.col("_before") + F.col("_at") - F.col("_first") + 1
-    return rows.join(placed, "_block").withColumn("source_row_number", number.cast("int"))
+    return rows.join(placed, "_block").withColumn("source_row_number", number.cast("long"))
 
 
-def append_raw(df: DataFrame, path: str) -> None:
-    """Append a batch to the raw table: all files of the job appear or none."""
-    df.write.mode("append").partitionBy("batch_id").parquet(path)
+def store_raw(df: DataFrame, folder: str, batch_id: int) -> DataFrame:
+    """Store the raw rows of a batch whole; a re-run of the batch replaces them."""
+    path = f"{folder}/batch_id={batch_id}"
+    df.drop("batch_id").write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path).withColumn("batch_id", F.lit(batch_id))
