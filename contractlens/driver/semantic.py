@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import functions as F
 
 from contractlens import config
@@ -12,6 +14,8 @@ from contractlens.functions.scalar import money, month_of, rate
 from contractlens.plans import actions as actions_plan
 from contractlens.plans import bi, measures
 from contractlens.plans import effect as effect_plan
+from contractlens.plans import executive as executive_plan
+from contractlens.plans import loss as loss_plan
 from contractlens.plans import timeline as timeline_plan
 from contractlens.plans.risk import risk_drivers
 from contractlens.session import materialize
@@ -228,27 +232,6 @@ def one_to_one_join(spark, sf):
     return bi.vw_desempenho_mensal(facts.risk(spark, sf))
 
 
-@query(
-    "bi_portfolio",
-    with_marts(
-        "driver",
-        f"""
-SELECT reference_month AS mes_referencia, contract_key AS chave_contrato, contract_code AS codigo_contrato, client_name AS cliente, business_segment AS segmento, service_name AS servico,
-  manager_name AS gestor, complexity_level AS complexidade, CAST(contribution_margin_pct AS DOUBLE) AS margem_pct, CAST(contract_risk_score AS DOUBLE) AS score_risco, {LABEL_SQL}, {TREND_SQL},
-  renewal_date AS data_renovacao, CAST(days_to_renewal AS BIGINT) AS dias_para_renovacao, code AS codigo_acao, CAST(action_recoverable_amount AS DOUBLE) AS valor_recuperavel,
-  CAST(portfolio_priority_rank AS BIGINT) AS prioridade FROM snapshot""",
-        marts.QUEUE_SQL,
-        marts.PORTFOLIO_SQL,
-    ),
-)
-def bi_portfolio(spark, sf):
-    return bi.vw_portfolio_atual(marts.portfolio(spark, sf)).select(
-        "mes_referencia", "chave_contrato", "codigo_contrato", "cliente", "segmento", "servico", "gestor", "complexidade",
-        "margem_pct", "score_risco", "classe_risco", "tendencia_margem", "data_renovacao", "dias_para_renovacao",
-        "codigo_acao", "valor_recuperavel", "prioridade",
-    )
-
-
 @query(
     "bi_queue",
     with_marts(
@@ -462,7 +445,7 @@ def measure_renewal_90d(spark, sf):
     "measure_open_items",
     with_marts(
         "action",
-        """SELECT reference_month, CAST(SUM(open_adjustments) AS BIGINT) AS open_adjustments, COUNT(*) FILTER (WHERE open_adjustments > 0) AS contracts_with_open_adjustment,
+        """SELECT reference_month, CAST(SUM(open_adjustments) AS BIGINT) AS open_adjustments, COUNT(DISTINCT contract_key) FILTER (WHERE open_adjustments > 0) AS contracts_with_open_adjustment,
   CAST(SUM(recoverable_amount) AS DOUBLE) AS recoverable FROM action GROUP BY 1""",
     ),
 )
@@ -472,3 +455,101 @@ def measure_open_items(spark, sf):
         "recoverable": "Valor Recuperável",
     }
     return measures.measure(facts.recommended(spark, sf), names, ["reference_month"])
+
+
+@query(
+    "measure_by_manager",
+    with_marts(
+        "action",
+        """SELECT a.manager_name, CAST(SUM(open_adjustments) FILTER (WHERE reference_month = last_month) AS BIGINT) AS open_adjustments,
+  COUNT(DISTINCT contract_key) FILTER (WHERE open_adjustments > 0) AS contracts_with_open_adjustment,
+  COUNT(DISTINCT contract_key) FILTER (WHERE code NOT IN ('MAINTAIN', 'EXPAND')) AS contracts_with_action,
+  COUNT(DISTINCT contract_key) FILTER (WHERE risk_class = 'CRITICAL') AS critical_contracts
+FROM action a JOIN (SELECT manager_name, MAX(reference_month) AS last_month FROM action GROUP BY 1) l ON l.manager_name = a.manager_name GROUP BY 1""",
+    ),
+)
+def measure_by_manager(spark, sf):
+    """Contracts over all months of a manager are counted once; open processes are those of the last month."""
+    names = {
+        "open_adjustments": "Reajustes Abertos", "contracts_with_open_adjustment": "Contratos com Reajuste Aberto",
+        "contracts_with_action": "Contratos com Ação", "critical_contracts": "Contratos Críticos",
+    }
+    return measures.measure(facts.recommended(spark, sf), names, ["manager_name"])
+
+
+# --- report views with all their columns ---------------------------------------
+
+COUNTS = ["active_contract_count", "critical_contract_count", "high_risk_contract_count", "contracts_requiring_action"]
+
+
+def columns_sql(columns: dict[str, str], plain: Sequence[str], given: dict[str, str] | None = None) -> str:
+    """Report columns in SQL: ``plain`` as they are, ``given`` by expression, the rest as floating point."""
+    given = given or {}
+    pick = lambda c: given[c] if c in given else c if c in plain else f"CAST({c} AS DOUBLE)"
+    return ", ".join(f"{pick(source)} AS {name}" for name, source in columns.items())
+
+
+@query("bi_summary", with_marts("action", f"SELECT {columns_sql(bi.RESUMO, ['reference_month', *COUNTS])} FROM ({marts.EXEC_SQL})"))
+def bi_summary(spark, sf):
+    return bi.vw_resumo_executivo(executive_plan.executive_summary(facts.recommended(spark, sf)))
+
+
+LOSS_TEXT = {
+    "loss_name_pt": case_sql("loss_code", {c: n for c, n, *_ in config.LOSS_CAUSES}),
+    "calculation_note": case_sql("loss_code", {c: note for c, *_, note in config.LOSS_CAUSES}),
+    "loss_nature": "nature",
+}
+
+
+@query("bi_losses", with_marts("loss", f"SELECT {columns_sql(bi.PERDAS, ['reference_month', 'contract_key', 'contract_code', 'loss_code'], LOSS_TEXT)} FROM loss"))
+def bi_losses(spark, sf):
+    return bi.vw_perdas_margem(loss_plan.loss_bridge(facts.performance(spark, sf)))
+
+
+DRIVER_TEXT = {
+    "driver_name_pt": case_sql("driver_code", {code: name for _, code, name, *_ in config.DRIVERS}),
+    "driver_score": "CAST(driver_score AS BIGINT)", "driver_rank": "CAST(driver_rank AS BIGINT)", "estimated_impact_amount": "CAST(impact AS DOUBLE)",
+}
+
+
+@query("bi_drivers", with_marts("driver", f"SELECT {columns_sql(bi.FATORES, ['reference_month', 'contract_key', 'contract_code', 'risk_pillar', 'driver_code'], DRIVER_TEXT)} FROM driver"))
+def bi_drivers(spark, sf):
+    return bi.vw_fatores_risco(risk_drivers(facts.risk(spark, sf)))
+
+
+ACTION_TEXT = {"action_name_pt": case_sql("action_code", {c: n for c, n, *_ in config.ACTIONS}), "margin_delta_pp": DELTA_SQL}
+EFFECT_PLAIN = ["management_action_key", "contract_key", "contract_code", "action_code", "start_date", "completion_date", *EFFECT_COLUMNS]
+
+
+@query(
+    "bi_effect",
+    with_marts(
+        "performance",
+        f"SELECT {columns_sql(bi.EFEITO, EFFECT_PLAIN, ACTION_TEXT)} FROM action_effect JOIN (SELECT DISTINCT contract_key, contract_code FROM performance) USING (contract_key)",
+        facts.MANAGEMENT_CTE,
+        EFFECT_SQL,
+    ),
+)
+def bi_effect(spark, sf):
+    codes = facts.performance(spark, sf).select("contract_key", "contract_code").distinct()
+    return bi.vw_efeito_acoes(action_effects(spark, sf).join(codes, "contract_key"))
+
+
+SNAPSHOT_TEXT = {
+    "risk_class": case_sql("risk_class", config.RISK_CLASS_LABELS), "margin_trend": case_sql("margin_trend", config.TREND_LABELS),
+    "main_risk_driver_pt": case_sql("main_driver", {code: name for _, code, name, *_ in config.DRIVERS}),
+    "main_risk_driver_impact": "CAST(main_impact AS DOUBLE)", "recommended_action_code": "code",
+    "recommended_action_name_pt": case_sql("code", {c: n for c, n, *_ in config.ACTIONS}),
+    "days_to_renewal": "CAST(days_to_renewal AS BIGINT)", "portfolio_priority_rank": "CAST(portfolio_priority_rank AS BIGINT)",
+}
+
+
+@query("bi_portfolio", with_marts("driver", f"SELECT {columns_sql(bi.PORTFOLIO, VIEW_PLAIN, SNAPSHOT_TEXT)} FROM snapshot", marts.QUEUE_SQL, marts.PORTFOLIO_SQL))
+def bi_portfolio(spark, sf):
+    return bi.vw_portfolio_atual(marts.portfolio(spark, sf))
+
+
+@query("bi_contracts", with_marts("driver", f"SELECT {columns_sql(bi.CONTRATOS, VIEW_PLAIN)} FROM snapshot", marts.QUEUE_SQL, marts.PORTFOLIO_SQL))
+def bi_contracts(spark, sf):
+    """Contracts of the latest month only, as the report filters by them."""
+    return bi.vw_contratos(marts.portfolio(spark, sf))

@@ -49,7 +49,7 @@ def scd2_merge(
     attributes: Sequence[str],
     hash_column: str = "row_hash",
 ) -> DataFrame:
-    """Versioned merge, at most one staged row per code.
+    """Versioned merge; a code staged twice is an error.
 
     Against the current version of a code: an equal hash keeps it; a changed
     hash with the same start rewrites it; a later start closes it the day
@@ -59,7 +59,14 @@ def scd2_merge(
     carried = [*attributes, hash_column]
     current = dimension.filter("is_current")
     old = current.select(F.struct(*dimension.columns).alias("o"), F.col(code))
-    new = staged.select(F.struct(code, *carried, "valid_from").alias("n"), F.col(code))
+    # combined before the shuffle; the error is raised where the second row of a code shows up
+    twice = F.raise_error(F.concat(F.lit("staged twice: "), F.col(code))).cast("boolean")
+    new = (
+        staged.groupBy(code)
+        .agg(F.first(F.struct(code, *carried, "valid_from")).alias("n"), F.count("*").alias("_n"))
+        .filter(F.when(F.col("_n") > 1, twice).otherwise(F.lit(True)))
+        .select("n", code)
+    )
     pair = old.join(new, code, "full_outer").select("o", "n")
 
     changed = F.col(f"o.{hash_column}") != F.col(f"n.{hash_column}")

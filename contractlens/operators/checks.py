@@ -25,6 +25,16 @@ def row_count(df: DataFrame, name: str, expected: int) -> DataFrame:
     return check_row(df, name, F.count("*"), expected)
 
 
+def preflight(required: dict[str, int], tables: dict[str, DataFrame]) -> None:
+    """Stop before a run: every required table is there and holds at least its number of rows."""
+    absent = sorted(set(required) - set(tables))
+    if absent:
+        raise ValueError(f"missing tables: {', '.join(absent)}")
+    short = [f"{name} (needs {n})" for name, n in required.items() if tables[name].limit(n).count() < n]
+    if short:
+        raise ValueError(f"too few rows: {', '.join(short)}")
+
+
 def no_row_breaks(df: DataFrame, name: str, rule: Column) -> DataFrame:
     """Rows for which the rule is false; an unknown result does not break it."""
     return check_row(df, name, F.count_if(~rule), 0)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from contractlens import config
+from contractlens.functions.scalar import label
 from contractlens.operators.temporal import month_offsets
 
 # Months compared on each side of an action.
@@ -45,4 +47,7 @@ def action_effect(actions: DataFrame, performance: DataFrame) -> DataFrame:
         .cast("decimal(18,2)")
         .alias("margin_delta_pp"),
     )
-    return effect.filter((F.col("months_before") > 0) & (F.col("months_after") > 0))
+    names = {code: name for code, name, *_ in config.ACTIONS}
+    return effect.filter((F.col("months_before") > 0) & (F.col("months_after") > 0)).withColumn(
+        "action_name_pt", label("action_code", names)
+    )

@@ -29,6 +29,16 @@ def _weighted(c: str) -> Column:
 
 
 
+def _last_month(c: str) -> Column:
+    """Sum at the last month in context, of a figure that counts all time up to now."""
+    return F.sum(F.when(F.col("reference_month") == F.col("_last_month"), F.col(c)))
+
+
+def _contracts(condition: Column) -> Column:
+    """Contracts, not contract-months, for which the condition holds somewhere in context."""
+    return F.count_distinct(F.when(condition, F.col("contract_key")))
+
+
 def _define() -> dict[str, Column]:
     kept = F.when(F.col("incident_count") == 0, F.lit(1)).otherwise(F.col("sla_compliance_rate")).cast("decimal(18,4)")
     margin_pct, target = rate(_sum("contribution_margin"), _sum("net_revenue")), _weighted("target_margin_pct")
@@ -39,7 +49,7 @@ def _define() -> dict[str, Column]:
         "Vazamento de Margem": _sum("margin_leakage_amount"),
         "Perda Identificada": _sum("identified_loss_amount"),
         "Valor Recuperável": _sum("recoverable_amount"),
-        "Reajustes Abertos": _sum("open_adjustment_count"),
+        "Reajustes Abertos": _last_month("open_adjustment_count"),
         "Margem %": margin_pct,
         "Cobertura %": rate(_sum("filled_positions"), _sum("planned_positions")),
         "Horas Extras %": rate(_sum("overtime_hours"), _sum("regular_hours")),
@@ -49,18 +59,31 @@ def _define() -> dict[str, Column]:
         "Score de Risco Ponderado": _weighted("contract_risk_score"),
         "Gap de Margem p.p.": ((margin_pct - target) * 100).cast("decimal(18,2)"),
         "Receita em Risco": F.sum(F.when(F.col("contract_risk_score") >= 60, F.col("net_revenue")).otherwise(F.lit(0))),
-        "Contratos Críticos": F.count_if(F.col("risk_class") == "CRITICAL"),
-        "Contratos com Ação": F.count_if(~F.col("recommended_action_code").isin("MAINTAIN", "EXPAND")),
+        "Contratos Críticos": _contracts(F.col("risk_class") == "CRITICAL"),
+        "Contratos com Ação": _contracts(~F.col("recommended_action_code").isin("MAINTAIN", "EXPAND")),
         "Postos Descobertos": _sum("uncovered_positions"),
         "Vagas Abertas": _sum("open_positions"),
         "Ocorrências": _sum("incident_count"),
         "Ocorrências Críticas": _sum("critical_incident_count"),
         "Ocorrências Reincidentes": _sum("recurrent_incident_count"),
         "Risco Qualidade": _weighted("quality_risk_score"),
-        "Contratos com Reajuste Aberto": F.count_if(F.col("open_adjustment_count") > 0),
+        "Contratos com Reajuste Aberto": _contracts(F.col("open_adjustment_count") > 0),
     }
 
 
+LAST_MONTH = {"Reajustes Abertos"}
+
+
+def with_last_month(rows: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Adds `_last_month` of every group; months are aggregated and joined, not windowed."""
+    last = rows.groupBy(*by).agg(F.max("reference_month").alias("_last_month"))
+    if not by:
+        return rows.crossJoin(F.broadcast(last))  # one row
+    last = last.withColumnsRenamed({c: f"_by_{c}" for c in by})
+    same = [F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by]
+    return rows.join(last, same).drop(*[f"_by_{c}" for c in by])
+
+
 def measure(
     rows: DataFrame, names: dict[str, str], by: Sequence[str] = (), where: Column | None = None
 ) -> DataFrame:
@@ -68,6 +91,8 @@ def measure(
     defined = _define()
     if where is not None:
         rows = rows.filter(where)
+    if any(m in LAST_MONTH for m in names.values()):
+        rows = with_last_month(rows, by)
     return rows.groupBy(*by).agg(*[defined[m].alias(out) for out, m in names.items()])
 
 
@@ -117,6 +142,11 @@ def renewal_within(rows: DataFrame, days: int = 90, source: DataFrame | None = N
     )
 
 
+def event_impact(timeline: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Impacto Evento: the impact of the events in context; events without one count nothing."""
+    return timeline.groupBy(*by).agg(F.sum("impact_amount").alias("event_impact"))
+
+
 def effect_measures(effect: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Completed actions: count, realized impact, mean indicators and gains."""
     exact = lambda c: quotient(F.sum(c), F.count(c).cast("decimal(18,0)"))

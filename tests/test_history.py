@@ -112,8 +112,8 @@ def test_report_views(built):
     assert bi.vw_portfolio_atual(built["portfolio"]).count() == 10
     assert bi.vw_fila_acoes(built["action_queue"]).filter("acao_recomendada like 'CT-% · % — %'").count() == 10
     assert bi.vw_linha_tempo(built["timeline"]).filter("evento_resumo like '__/__/____ · %'").count() == built["timeline"].count()
-    effect = built["action_effect"].withColumn("action_name_pt", F.col("action_code"))
-    assert bi.vw_efeito_acoes(effect).count() == 3
+    effect = bi.vw_efeito_acoes(built["action_effect"])
+    assert effect.count() == 3 and effect.filter("acao is null or acao = codigo_acao").count() == 0
     shown = {r[0] for r in rows(bi.vw_desempenho_mensal(built["contract_month"]).select("classe_risco").distinct())}
     assert shown and shown <= {"Baixo", "Atenção", "Alto", "Crítico"}
     assert bi.vw_perdas_margem(built["margin_loss_bridge"]).count() > 0 and bi.vw_fatores_risco(built["risk_drivers"]).count() > 0

@@ -8,10 +8,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from contractlens.functions.scalar import exposure, fold
-from contractlens.plans import monthly_load
+from contractlens.operators import checks
+from contractlens.plans import measures, monthly_load
 from contractlens.plans.base import hundredths
 from contractlens.sources.calendar import calendar
 from contractlens.sources.delimited import read_delimited
+from contractlens.sources.store import publish, read_table
 from tests import company
 from tests.conftest import rows
 
@@ -121,3 +123,33 @@ def test_a_contract_delivered_twice_fails_the_batch(spark, store, tmp_path):
     failed = spark.read.parquet(f"{root}/audit").filter("batch_id = 30").first()
     assert failed.status == "FAILED" and "delivered twice" in failed.error_message
     assert monthly_load.contracts(spark, root).count() == 10
+
+
+def test_preflight_stops(spark):
+    tables = {"contract": spark.range(10), "revenue": spark.range(3)}
+    checks.preflight({"contract": 10, "revenue": 3}, tables)
+    with pytest.raises(ValueError, match="missing tables: cost"):
+        checks.preflight({"contract": 1, "cost": 1}, tables)
+    with pytest.raises(ValueError, match="revenue .needs 4"):
+        checks.preflight({"contract": 10, "revenue": 4}, tables)
+
+
+def test_a_published_version_is_not_overwritten(spark, tmp_path):
+    publish(spark, str(tmp_path), "v1", {"t": spark.range(2)})
+    with pytest.raises(ValueError, match="already published"):
+        publish(spark, str(tmp_path), "v1", {"t": spark.range(3)})
+    publish(spark, str(tmp_path), "v2", {"t": spark.range(3)})
+    assert read_table(spark, str(tmp_path), "t").count() == 3
+
+
+def test_contracts_are_counted_once(spark):
+    months = spark.createDataFrame(
+        [("m", 1, "2025-01-01", "EXPAND", 2), ("m", 1, "2025-02-01", "REVIEW_SCHEDULE", 3), ("m", 2, "2025-01-01", "REVIEW_SCHEDULE", 5),
+         ("m", 1, "2025-03-01", "REVIEW_SCHEDULE", 3), (None, 3, "2025-01-01", "MAINTAIN", 4)],
+        "manager_name string, contract_key long, reference_month string, recommended_action_code string, open_adjustment_count long",
+    ).withColumn("reference_month", F.to_date("reference_month"))
+    for c in ("net_revenue", "total_cost", "contribution_margin", "target_margin_pct", "contract_risk_score", "quality_risk_score"):
+        months = months.withColumn(c, F.lit(1).cast("decimal(18,2)"))
+    names = {"a": "Contratos com Ação", "o": "Reajustes Abertos", "c": "Contratos com Reajuste Aberto"}
+    assert rows(measures.measure(months, names, ["manager_name"]), "manager_name", "a", "o", "c") == [(None, 0, 4, 1), ("m", 2, 3, 2)]
+    assert rows(measures.measure(months, names), "a", "o", "c") == [(2, 3, 3)]
