@@ -36,10 +36,10 @@ def word_count(text: Column) -> Column:
 
 def small_batches(spark: SparkSession) -> None:
     """Bound what one Arrow batch holds, whatever the length of its texts."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(2 << 20))
 
 
-def text_blocks(batch: pa.RecordBatch, column: str, size: int = 1 << 20) -> Iterator[tuple[int, list[str]]]:
+def text_blocks(batch: pa.RecordBatch, column: str, size: int = 1 << 19) -> Iterator[tuple[int, list[str]]]:
     """(first row, texts) blocks of about ``size`` characters; NULL becomes ''."""
     block: list[str] = []
     held, first = 0, 0

@@ -9,13 +9,14 @@ bytes agree.  The dictionary side (suffix of the first phrase) and the parse sid
 combined, with one difference: equality needs only the classes of that order,
 not its ranks, so classes are formed by content hashes instead of a global sort.
 
-Three steps narrow the work down:
+Steps that narrow the work down:
 
 1. Window starts with the same next phrase start form a segment.  Its key is the
    text from that start on, as far as all its windows hold it.  Segments with a
    key that occurs once are not repeated and go; this is nearly all of the corpus.
 2. Segments that agree in all bytes of all their windows are repeated as a whole.
-3. Only where they differ at an edge are the windows compared one by one.
+3. Where segments of one key differ, the same is asked of their pieces.
+4. Only in pieces that differ at an edge are the windows compared one by one.
 """
 
 from __future__ import annotations
@@ -34,7 +35,9 @@ LENGTH = 400
 GRAM = 16  # bytes that decide on a phrase start
 ONE_IN = 64  # positions start a phrase, on average
 STEP = 128  # segments hold windows whose next phrase start is at most so far apart
-BLOCK_BYTES = 2 << 20
+PIECE = 16  # windows of a piece of a segment
+WIDE, GAP = 1 << 27, 1 << 20  # a place is start * WIDE + further windows * GAP + distance to the phrase start
+BLOCK_BYTES = 1 << 19
 SECOND = Powers(U(0xC2B2AE3D27D4EB4F))
 SECOND_CODES = mix(BYTE_CODES)
 KEYS = ["id", "crc"]
@@ -70,7 +73,12 @@ def phrase_starts(prefix: Prefix, n: int) -> np.ndarray:
 
 
 def segments(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
-    """(row, key, whole, low, high) of all segments: key hash, hash of all bytes, first and last window start in its row."""
+    """(row, key, whole, low, high, gap, times) of all segments.
+
+    Key hash, hash of all bytes, first and last window start in its row, distance
+    from there to the next phrase start (0: none in reach), and how often the row
+    holds a segment with the same bytes.
+    """
     prefix = Prefix(data)
     starts = phrase_starts(prefix, len(data))
     row = np.searchsorted(offsets, starts, "right") - 1
@@ -94,7 +102,7 @@ def segments(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.nda
         at, low, high, own = far[ok], low[ok], high[ok], owner[ok]
         key = mix(prefix.ranges(at, at + (length - bound)) + U(tier))
         whole = mix(prefix.ranges(low, high + length) ^ mix((at - low).astype(np.uint64)))
-        out.append((own, key, whole, low - offsets[own], high - offsets[own]))
+        out.append((own, key, whole, low - offsets[own], high - offsets[own], at - high))
         low_bound = bound
     # Windows without a phrase start are segments of their own.
     low, high = previous, np.minimum(far - 1 - reach, last)
@@ -104,67 +112,124 @@ def segments(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.nda
         at = np.repeat(low[ok], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
         own = np.repeat(owner[ok], many)
         whole = Prefix(data, SECOND, SECOND_CODES).ranges(at, at + length)
-        out.append((own, mix(prefix.ranges(at, at + length) + U(255)), whole, at - offsets[own], at - offsets[own]))
-    return tuple(np.concatenate(c) for c in zip(*out))
+        out.append((own, mix(prefix.ranges(at, at + length) + U(255)), whole, at - offsets[own], at - offsets[own], np.zeros_like(at)))
+    row, key, whole, low, high, gap = (np.concatenate(c) for c in zip(*out))
+    _, kind, times = np.unique(mix(key ^ mix(whole + row.astype(np.uint64))), return_inverse=True, return_counts=True)
+    return row, key, whole, low, high, gap, times[kind]
 
 
 def segment_rows(docs: DataFrame, length: int, place: bool) -> DataFrame:
+    """Segments with `n`, their number: what a text holds several times is one row that counts two."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, crcs = (batch.column(c).to_numpy() for c in KEYS)
             for first, data, offsets in byte_blocks(batch.column("text")):
-                row, key, whole, low, high = segments(data, offsets, length)
-                columns = [key.view(np.int64)]
+                row, key, whole, low, high, gap, times = segments(data, offsets, length)
+                _, once = np.unique(mix(key ^ mix(whole + row.astype(np.uint64))), return_index=True)
+                row, key, whole, low, high, gap = (x[once] for x in (row, key, whole, low, high, gap))
+                columns = [key.view(np.int64), np.minimum(times[once], 2)]
                 if place:
-                    columns += [whole.view(np.int64), ids[first + row], crcs[first + row], low * STEP + (high - low)]
+                    columns += [whole.view(np.int64), ids[first + row], crcs[first + row], low * WIDE + (high - low) * GAP + gap]
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
 
-    names = ["key", "whole", *KEYS, "at"] if place else ["key"]
+    names = ["key", "n", "whole", *KEYS, "at"] if place else ["key", "n"]
     return docs.mapInArrow(run, ", ".join(f"{n} long" for n in names))
 
 
-def windows(docs: DataFrame, length: int, place: bool) -> DataFrame:
-    """Two hashes of every window of the open segments, and where it starts."""
+def open_places(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(row, bytes, offsets, place) of the open places of the rows, block by block."""
+    open_ = batch.column("open").to_pylist()
+    for first, data, offsets in byte_blocks(batch.column("text")):
+        ats = [np.unique(np.array(open_[first + r] or [], np.int64)) for r in range(len(offsets) - 1)]
+        at = np.concatenate(ats)
+        if len(at):
+            yield first, np.repeat(np.arange(len(ats)), [len(a) for a in ats]), data, offsets, at
+
+
+def counted(many: np.ndarray) -> np.ndarray:
+    """0 .. n-1 for every n."""
+    return np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+
+
+def pieces(docs: DataFrame, length: int) -> DataFrame:
+    """Pieces of the open segments: PIECE windows by their distance to the next phrase start, keyed as segments are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, crcs = (batch.column(c).to_numpy() for c in KEYS)
-            open_ = batch.column("open").to_pylist()
-            for first, data, offsets in byte_blocks(batch.column("text")):
-                ats = [np.unique(np.array(open_[first + r] or [], np.int64)) for r in range(len(offsets) - 1)]
-                row = np.repeat(np.arange(len(ats)), [len(a) for a in ats])
-                at = np.concatenate(ats)
-                many = at % STEP + 1
-                start = np.repeat(at // STEP, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            for first, row, data, offsets, at in open_places(batch):
+                low, gap = at // WIDE + offsets[row], at % GAP
+                high = low + at % WIDE // GAP
+                far = high + gap
+                nearest, many = (gap - 1) // PIECE, (far - low - 1) // PIECE - (gap - 1) // PIECE + 1
+                step = np.repeat(nearest, many) + counted(many)
+                row, low, high, far = (np.repeat(x, many) for x in (row, low, high, far))
+                low, high = np.maximum(low, far - PIECE * (step + 1)), np.minimum(high, far - PIECE * step - 1)
+                prefix, alone = Prefix(data), np.repeat(gap == 0, many)
+                start = np.where(alone, low, far - PIECE * step - 1)
+                end = np.where(alone, low, far - PIECE * (step + 1)) + length
+                key = mix(prefix.ranges(start, end) ^ mix(step.astype(np.uint64)))
+                whole = mix(prefix.ranges(low, high + length) ^ mix((far - low).astype(np.uint64)))
+                place = (low - offsets[row]) * WIDE + (high - low) * GAP
+                columns = [key.view(np.int64), np.ones_like(place), whole.view(np.int64), ids[first + row], crcs[first + row], place]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
+
+    names = ["key", "n", "whole", *KEYS, "at"]
+    return docs.mapInArrow(run, ", ".join(f"{n} long" for n in names))
+
+
+def windows(docs: DataFrame, length: int) -> DataFrame:
+    """Two hashes of every window of the open pieces, and its place."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, crcs = (batch.column(c).to_numpy() for c in KEYS)
+            for first, row, data, offsets, at in open_places(batch):
+                many = at % WIDE // GAP + 1
+                start = np.repeat(at // WIDE, many) + counted(many)
                 row = np.repeat(row, many)
-                if not len(start):
-                    continue
                 absolute = start + offsets[row]
                 columns = [p.ranges(absolute, absolute + length).view(np.int64) for p in (Prefix(data), Prefix(data, SECOND, SECOND_CODES))]
-                columns += [ids[first + row], crcs[first + row], start] if place else []
+                columns += [ids[first + row], crcs[first + row], start * WIDE]
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
 
-    names = ["w1", "w2", *KEYS, "start"] if place else ["w1", "w2"]
-    return docs.filter(F.size("open") > 0).mapInArrow(run, ", ".join(f"{n} long" for n in names))
+    names = ["w1", "w2", *KEYS, "at"]
+    return docs.mapInArrow(run, ", ".join(f"{n} long" for n in names))
+
+
+def narrow(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Places repeated as a whole, and places to look into: one of each kind where kinds of one key differ."""
+    kinds = found.groupBy("key", "whole").agg(F.sum("n").alias("n"), F.min(F.struct(*KEYS, "at")).alias("first"))
+    kinds = materialize(kinds, "kinds")
+    differ = kinds.groupBy("key").agg(F.count("*").alias("kinds"), F.min("n").alias("least")).filter("kinds > 1 and least = 1")
+    sure = found.join(kinds.filter("n > 1").select("key", "whole"), ["key", "whole"], "left_semi").select(*KEYS, "at")
+    return sure, kinds.join(differ.select("key"), "key", "left_semi").select("first.*")
 
 
 def cutter(length: int, as_text: bool):
-    """Rows with segments repeated as a whole and repeated window starts -> removed spans and what is left.
+    """Rows with the places of repeated segments, pieces and windows -> removed spans and what is left.
 
     As text, characters that a cut went through go as a whole.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sure, starts = (batch.column(c).to_pylist() for c in ("sure", "starts"))
+            sure, more = (batch.column(c).to_pylist() for c in ("sure", "more"))
             spans, kept = [], []
             for first, data, offsets in byte_blocks(batch.column("text")):
+                row, _, _, first_start, last_start, _, times = segments(data, offsets, length)
+                twice = times > 1  # within the text itself
+                own_row, own_low, own_high = (x[twice] for x in (row, first_start, last_start))
+                order = np.argsort(own_row, kind="stable")
+                own_row, own_low, own_high = own_row[order], own_low[order], own_high[order]
+                bounds = np.searchsorted(own_row, np.arange(len(offsets)))
                 for r in range(len(offsets) - 1):
+                    local = slice(bounds[r], bounds[r + 1])
                     body = data[offsets[r] : offsets[r + 1]]
-                    at = np.array(sure[first + r] or [], np.int64)
-                    single = np.array(starts[first + r] or [], np.int64)
-                    low = np.concatenate([at // STEP, single])
-                    high = np.concatenate([at // STEP + at % STEP, single]) + length
+                    at = np.array([*(sure[first + r] or []), *(more[first + r] or [])], np.int64)
+                    low = np.concatenate([at // WIDE, own_low[local]])
+                    high = np.concatenate([at // WIDE + at % WIDE // GAP, own_high[local]]) + length
                     change = np.zeros(len(body) + 1, np.int64)
                     np.add.at(change, low, 1)
                     np.add.at(change, high, -1)
@@ -185,20 +250,20 @@ def repeated(docs: DataFrame, length: int, as_text: bool = False) -> DataFrame:
     """(id, crc, spans, kept) of the texts that hold a repeated window; others have no row."""
     spark = docs.sparkSession
     small_batches(spark)
-    often = segment_rows(docs, length, False).groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
-    found = materialize(segment_rows(docs, length, True).join(often, "key"), "segments")
-    name = F.struct(*KEYS, "at")
-    kinds = materialize(found.groupBy("key", "whole").agg(F.count("*").alias("n"), F.min(name).alias("first")), "kinds")
-    differ = kinds.filter("n = 1").select("key").distinct()
-    sure = found.join(kinds.filter("n > 1").select("key", "whole"), ["key", "whole"], "left_semi").select(*KEYS, "at", F.lit(True).alias("sure"))
-    # Where segments of one key differ, one of each kind is compared window by window.
-    open_ = kinds.join(differ, "key", "left_semi").select("first.*", F.lit(False).alias("sure"))
+    often = segment_rows(docs, length, False).groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1").select("key")
+    sure, open_ = narrow(materialize(segment_rows(docs, length, True).join(often, "key"), "segments"))
+    which = sure.withColumn("sure", F.lit(True)).unionByName(open_.withColumn("sure", F.lit(False)))
     of = lambda c: F.collect_list(F.when(c, F.col("at")))
-    lists = sure.unionByName(open_).groupBy(*KEYS).agg(of(F.col("sure")).alias("sure"), of(~F.col("sure")).alias("open"))
+    lists = which.groupBy(*KEYS).agg(of(F.col("sure")).alias("sure"), of(~F.col("sure")).alias("open"))
     texts = materialize(docs.join(materialize(lists, "lists"), KEYS).dropDuplicates(KEYS), "touched")
-    twice = windows(texts, length, False).groupBy("w1", "w2").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
-    starts = windows(texts, length, True).join(twice, ["w1", "w2"]).groupBy(*KEYS).agg(F.collect_list("start").alias("starts"))
-    return texts.drop("open").join(starts, KEYS, "left").mapInArrow(
+
+    whole, differ = narrow(materialize(pieces(texts.filter(F.size("open") > 0), length), "pieces"))
+    differ = differ.groupBy(*KEYS).agg(F.collect_list("at").alias("open"))
+    single = materialize(windows(texts.select(*KEYS, "text").join(differ, KEYS), length), "windows")
+    twice = single.groupBy("w1", "w2").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
+    more = whole.unionByName(single.join(twice, ["w1", "w2"]).select(*KEYS, "at"))
+    more = more.groupBy(*KEYS).agg(F.collect_list("at").alias("more"))
+    return texts.drop("open").join(more, KEYS, "left").mapInArrow(
         cutter(length, as_text), f"id long, crc long, spans array<struct<start:long,end:long>>, kept {'string' if as_text else 'binary'}"
     )
 
