@@ -169,3 +169,57 @@ def judge(docs: DataFrame, keep_text: bool = True) -> DataFrame:
         .withColumn("kept", ~F.col("base_failed") & within)
         .drop("_lang", "_source", "_limits")
     )
+
+
+def oracle() -> str:
+    """Counts, sketches, limits and verdicts in SQL."""
+    blank = SPACE
+    rates = ", ".join(f"{{'rate': '{n}', 'v': {e.replace(' div ', ' // ')}}}" for n, (e, *_) in RATES.items())
+    rules = ", ".join(f"('{n}', {factor}, {least}, {lower})" for n, (_, factor, least, lower) in RATES.items())
+
+    def limits(name: str, by: list[str]) -> str:
+        keys = "".join(f"{c}, " for c in by)
+        part = f"partition by {keys}rate"
+        return f"""
+{name}_rank as (
+  select *, sum(n) over ({part} order by edge) as upto, sum(n) over ({part}) as rows
+  from (select {keys}rate, edge, sum(n) as n from sketch group by all)),
+{name}_q as (
+  select {keys}rate, max(rows) as rows, min(edge) filter (upto * 4 >= rows) as q1, min(edge) filter (upto * 4 >= rows * 3) as q3
+  from {name}_rank group by all),
+{name} as (
+  select q.*, q3 + greatest(factor * (q3 - q1), least) as upper,
+    case when two_sided then q1 - greatest(factor * (q3 - q1), least) else -1 end as lower
+  from {name}_q q join rules using (rate))"""
+
+    return f"""
+with rules(rate, factor, least, two_sided) as (values {rules}),
+texts as (
+  select row_number() over () as r, doc_id, coalesce('=' || lang, '') as lang, coalesce('=' || source, '') as source, coalesce(text, '') as text
+  from documents),
+split as (
+  select *, regexp_extract_all(text, '[^{blank}]+') as words,
+    [x for x in string_split(text, chr(10)) if regexp_matches(x, '[^{blank}]')] as lines from texts),
+grams as (select r, i, words[i : i + 4] as gram from (select r, words, unnest(range(1, len(words) - 3)) as i from split)),
+again as (select r, unnest(range(i, i + 5)) as place from (select *, count(*) over (partition by r, gram) as n from grams) where n > 1),
+covered as (select r, count(distinct place) as n_repeat_words from again group by r),
+base as (
+  select r, doc_id, lang, source, len(words) as n_words, length(regexp_replace(text, '[{blank}]+', '', 'g')) as word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) as n_symbols, len(lines) as n_lines,
+    len(lines) - len(list_distinct(lines)) as n_dup_lines, coalesce(n_repeat_words, 0) as n_repeat_words
+  from split left join covered using (r)),
+counted as (select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed from base),
+valued as (select r, lang, source, unnest([{rates}], recursive := true) from counted where not base_failed),
+placed as (select *, greatest(length(bin(v)) - {FINE}, 0) as spare from valued),
+sketch as (select lang, source, rate, (v >> spare) << spare as edge, count(*) as n from placed group by all),
+{limits("fine", ["lang", "source"])}, {limits("middle", ["lang"])}, {limits("whole", [])},
+chosen as (
+  select f.lang, f.source, f.rate,
+    case when f.rows >= {MIN_ROWS} then f.lower when m.rows >= {MIN_ROWS} then m.lower else w.lower end as lower,
+    case when f.rows >= {MIN_ROWS} then f.upper when m.rows >= {MIN_ROWS} then m.upper else w.upper end as upper
+  from fine f join middle m on m.lang = f.lang and m.rate = f.rate join whole w on w.rate = f.rate),
+odd as (
+  select distinct r from valued v join chosen c on c.lang = v.lang and c.source = v.source and c.rate = v.rate
+  where v.v not between c.lower and c.upper)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and odd.r is null as kept
+from counted left join odd using (r)"""

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contractlens.llm.common import WORD_RE, materialize, small_batches, text_blocks
+from contractlens.llm.common import WORD, WORD_RE, materialize, small_batches, text_blocks
 from contractlens.llm.hashing import U, mix, shingles_of
 
 SHINGLE = 5
@@ -271,3 +271,22 @@ def near_duplicates(
     return named.join(label, "copy_id", "left").select(
         F.col("id").alias(doc_id), "copy_id", F.coalesce("class_id", "copy_id").alias("class_id")
     )
+
+
+def oracle() -> str:
+    """The same classes from all pairs that share a shingle, linked by the exact similarity."""
+    tenths = round(SIMILARITY * 10)
+    return f"""
+with recursive texts as (select doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') as w from documents),
+copies as (select doc_id, case when len(w) = 0 then doc_id else min(doc_id) over (partition by w) end as copy_id from texts),
+runs as (
+  select doc_id, unnest([w[i : i + {SHINGLE - 1}] for i in range(1, greatest(len(w) - {SHINGLE - 2}, 2))]) as shingle from texts where len(w) > 0),
+bags as (select doc_id, shingle, count(*) as n from runs group by all),
+sizes as (select doc_id, sum(n) as size from bags group by doc_id),
+meet as (select a.doc_id as x, b.doc_id as y, sum(least(a.n, b.n)) as shared from bags a join bags b using (shingle) where a.doc_id <> b.doc_id group by all),
+links as (
+  select x, y from meet join sizes p on p.doc_id = x join sizes q on q.doc_id = y
+  where 10 * shared >= {tenths} * (p.size + q.size - shared)),
+reach(doc_id, other) as (select doc_id, doc_id from texts union select r.doc_id, l.y from reach r join links l on l.x = r.other),
+classes as (select doc_id, min(other) as class_id from reach group by doc_id)
+select doc_id, copy_id, class_id from copies join classes using (doc_id)"""

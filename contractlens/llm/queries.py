@@ -48,7 +48,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "langs", "shares")
 
 
-@query("op2_dart_minhash")
+@query("op2_dart_minhash", dart_minhash.oracle())
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dart_minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -83,15 +83,13 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op6_warc_index")
+@query("op6_warc_index", warc_index.oracle())
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = warc_index.archive(table(spark, sf_dir, "pages"))
-    return index.select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured", "file", "offset"
-    )
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-@query("op7_adaptive_quality")
+@query("op7_adaptive_quality", adaptive_quality.oracle())
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     judged = adaptive_quality.judge(docs, keep_text=False)

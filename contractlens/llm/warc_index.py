@@ -264,3 +264,16 @@ def archive(pages: DataFrame, folder: str | None = None) -> DataFrame:
     if not n:
         return spark.createDataFrame([], INDEX)
     return capture_index(folder, spark, n)
+
+
+def oracle() -> str:
+    """What the archives give back, from the pages themselves."""
+    digit = "cast('0x' || digits[5 * x + 1 : 5 * x + 5] as integer)"
+    four = " || ".join(f"'{BASE32}'[1 + (({digit} >> {shift}) & 31)]" for shift in (15, 10, 5, 0))
+    return f"""
+with known as (select page_id, coalesce(html, '') as payload, sha1(coalesce(html, '')) as digits from pages),
+named as (select *, array_to_string([{four} for x in range(8)], '') as payload_digest, min(page_id) over (partition by payload) as first_id from known)
+select page_id, cast(octet_length(encode(payload)) as bigint) as payload_bytes, payload_digest,
+  case when page_id <> first_id then 'revisit' else 'response' end as record_type,
+  case when page_id <> first_id then first_id end as refers_to
+from named"""
