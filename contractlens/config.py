@@ -173,7 +173,6 @@ class Band:
     column: str
     limits: tuple
     direction: str = ">="
-    null_points: int | None = None
     floor: int = 0
 
 

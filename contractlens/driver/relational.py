@@ -10,9 +10,7 @@ from pyspark.sql import functions as F
 from contractlens import config
 from contractlens.driver import facts
 from contractlens.driver.registry import query, table
-from contractlens.functions.scalar import (
-    code_lookup, date_key, fold, join_text, money, month_of, rate, row_hash,
-)
+from contractlens.functions.scalar import code_lookup, fold, money, month_of, rate
 from contractlens.operators import changes, checks, overlay, shape, temporal
 from contractlens.plans import base as base_plan
 from contractlens.session import materialize

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from contractlens import config
 from contractlens.functions.scalar import money
 from contractlens.operators.shape import expand_by_count, grid_by_month
-from contractlens.operators.temporal import latest_period  # noqa: F401
 
 # Yearly price and cost factors, from the first plan year on.
 PRICE_FACTORS = ("0.9600", "1.0000", "1.0450")
@@ -46,6 +45,14 @@ ROUTINE_MONTH = {
     "event_note": ("Operação dentro do comportamento esperado.", "string"),
 }
 INCIDENT_MONTHS = (3, 9)
+# How facts follow from a plan month.
+DEDUCTED_SHARE = "0.4000"  # of the SLA loss; the rest is a penalty
+PAYMENT_SPREAD, PAYMENT_LEAST = 18, 24  # days until payment
+MONTH_HOURS = 160
+HIRED_SHARE, LEFT_SHARE = "0.5", "0.45"  # of vacant positions
+DAY_STEP, DAY_FIRST = 6, 2  # incident days in the month
+MISSED_STEP, MISSED_HOURS = 4, 18  # hours to close where the agreement is missed
+EMERGENCY_COST = "750.00"
 
 
 def by_year(month: Column, first_year: Column, factors) -> Column:
@@ -86,7 +93,7 @@ def revenue_amounts(plan: DataFrame) -> DataFrame:
         .withColumns(
             {
                 "commercial_discounts": money(F.col("gross_revenue") * F.col("commercial_discount_rate")),
-                "deductions": money(F.col("sla_financial_loss") * F.lit(Decimal("0.4000"))),
+                "deductions": money(F.col("sla_financial_loss") * F.lit(Decimal(DEDUCTED_SHARE))),
             }
         )
         .withColumns(
@@ -94,7 +101,7 @@ def revenue_amounts(plan: DataFrame) -> DataFrame:
                 "penalties": money(F.col("sla_financial_loss") - F.col("deductions")),
                 "net_revenue": money(F.col("gross_revenue") - F.col("commercial_discounts") - F.col("sla_financial_loss")),
                 "invoice_date": month_end,
-                "payment_days": (F.col("contract_number") % 18 + 24).cast("int"),
+                "payment_days": (F.col("contract_number") % PAYMENT_SPREAD + PAYMENT_LEAST).cast("int"),
             }
         )
         .withColumn("payment_date", F.date_add(month_end, F.col("payment_days")))
@@ -164,9 +171,9 @@ def operation_from_template(plan: DataFrame, template: DataFrame, first_year: Co
                 "average_headcount": F.col("filled_positions"),
                 "overtime_hours": money(F.col("regular_hours") * F.col("overtime_rate")),
                 "absence_hours": money(hours * F.col("absenteeism_rate")),
-                "leave_days": days(hours * F.col("absenteeism_rate") / 160),
-                "hires": days(vacant * F.lit(Decimal("0.5"))),
-                "terminations": days(vacant * F.lit(Decimal("0.45"))),
+                "leave_days": days(hours * F.col("absenteeism_rate") / MONTH_HOURS),
+                "hires": days(vacant * F.lit(Decimal(HIRED_SHARE))),
+                "terminations": days(vacant * F.lit(Decimal(LEFT_SHARE))),
                 "open_positions": days(vacant),
                 "average_replacement_days": F.col("replacement_days"),
                 "emergency_coverage_cost": money(
@@ -183,8 +190,8 @@ def expand_incidents(plan: DataFrame) -> DataFrame:
     """One incident per 1..count with deterministic times; the first k missed."""
     n = F.col("incident_sequence")
     missed = n <= F.col("sla_miss_count")
-    opened = F.timestamp_add("MINUTE", n * 30, F.timestamp_add("DAY", n * 6 + 2, F.col("reference_month").cast("timestamp_ntz")))
-    hours = F.when(missed, n * 4 + 18).otherwise(n + 4)
+    opened = F.timestamp_add("MINUTE", n * 30, F.timestamp_add("DAY", n * DAY_STEP + DAY_FIRST, F.col("reference_month").cast("timestamp_ntz")))
+    hours = F.when(missed, n * MISSED_STEP + MISSED_HOURS).otherwise(n + 4)
     return expand_by_count(plan, "incident_count", "incident_sequence").withColumns(
         {
             "opened_at": opened,
@@ -206,7 +213,7 @@ def incident_amounts(incidents: DataFrame) -> DataFrame:
             "is_recurrence": n <= F.col("recurrent_incident_count"),
             "deduction_amount": money(loss * F.lit(Decimal("0.4")) / count),
             "penalty_amount": money(loss * F.lit(Decimal("0.6")) / count),
-            "emergency_cost": F.when(critical, F.lit(Decimal("750.00"))).otherwise(F.lit(Decimal("0.00"))),
+            "emergency_cost": F.when(critical, F.lit(Decimal(EMERGENCY_COST))).otherwise(F.lit(Decimal("0.00"))),
         }
     )
 

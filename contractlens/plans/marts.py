@@ -5,10 +5,8 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from contractlens import config
-from contractlens.functions.scalar import date_key  # noqa: F401
 from contractlens.plans import actions, base, effect, executive, loss, performance, risk, timeline
 from contractlens.session import materialize
 from contractlens.sources.store import publish

@@ -21,10 +21,10 @@ from pyspark.sql import functions as F
 from contractlens.functions.scalar import month_of
 from contractlens.operators.shape import dense_number
 from contractlens.plans import batch, loading, staging
-from contractlens.session import materialize
-from contractlens.sources.delimited import raw_columns, read_delimited, store_raw
+from contractlens.session import cut_points, materialize
+from contractlens.sources.delimited import raw_columns, read_delimited, store_batch
 from contractlens.sources.slices import MONTH, exists, replace_slices
-from contractlens.sources.store import current_version, publish, read_table
+from contractlens.sources.store import publish, read_table
 
 
 @dataclass
@@ -96,28 +96,30 @@ def run_load(
     """
     source = staging.SOURCES[source_name]
     try:
-        raw = store_raw(read_delimited(spark, path, raw_columns(source), batch_id), f"{root}/raw/{source_name}", batch_id)
-        refs = dims | {"contracts": contracts(spark, root)}
-        judged = materialize(staging.judge(source, raw, refs, period), "judged")  # parsed and looked up once
-        bad = F.count_if(F.col("rejection_reason") != "")
-        received, rejected = judged.agg(F.count("*"), bad).first()
-        valid, refused = staging.parts(source, judged)
-        staged = _stored(valid, f"{root}/staged/{source_name}", batch_id)
-        _stored(refused, f"{root}/rejected/{source_name}", batch_id)
-        if source_name == "contract_register":
-            _load_contracts(spark, root, staged, batch_id)
-        else:
-            _load_facts(spark, root, FACTS[source_name], staged, refs)
-        status = "PARTIAL" if rejected else "SUCCESS"
-        row = (batch_id, source_name, received, received - rejected, rejected, status, None)
-        _record(spark.createDataFrame([row], batch.AUDIT), root, batch_id)
+        with cut_points(spark):
+            _load(spark, root, batch_id, source, path, dims, period)
     except Exception as error:
         _record(batch.failed_audit(spark, batch_id, source_name, error), root, batch_id)
         raise
 
 
-def _stored(df: DataFrame, folder: str, batch_id: int) -> DataFrame:
-    return store_raw(df, folder, batch_id)
+def _load(spark: SparkSession, root: str, batch_id: int, source, path: str, dims: dict[str, DataFrame], period: str) -> None:
+    source_name = source.name
+    raw = store_batch(read_delimited(spark, path, raw_columns(source), batch_id), f"{root}/raw/{source_name}", batch_id)
+    refs = dims | {"contracts": contracts(spark, root)}
+    judged = materialize(staging.judge(source, raw, refs, period), "judged")  # parsed and looked up once
+    bad = F.count_if(F.col("rejection_reason") != "")
+    received, rejected = judged.agg(F.count("*"), bad).first()
+    valid, refused = staging.parts(source, judged)
+    staged = store_batch(valid, f"{root}/staged/{source_name}", batch_id)
+    store_batch(refused, f"{root}/rejected/{source_name}", batch_id)
+    if source_name == "contract_register":
+        _load_contracts(spark, root, staged, batch_id)
+    else:
+        _load_facts(spark, root, FACTS[source_name], staged, refs)
+    status = "PARTIAL" if rejected else "SUCCESS"
+    row = (batch_id, source_name, received, received - rejected, rejected, status, None)
+    _record(spark.createDataFrame([row], batch.AUDIT), root, batch_id)
 
 
 def _record(audit: DataFrame, root: str, batch_id: int) -> None:

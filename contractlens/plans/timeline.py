@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contractlens import config
-from contractlens.functions.scalar import code_lookup, join_text, label, money  # noqa: F401
+from contractlens.functions.scalar import join_text
 from contractlens.operators.shape import change_rows
 
 # Words of a plan event that raise its severity, worst first.

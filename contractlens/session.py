@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,18 +43,39 @@ def work_dir(spark: SparkSession) -> str:
     return configured.rstrip("/")
 
 
+_written: list[str] = []  # cut points of this application that are still there
+
+
+def _folder(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and read it back.
 
     Used where one frame feeds several outputs: the facts are scanned once,
     the lineage is cut, a lost executor re-reads files, and the readers keep
     column pruning, filter pushdown and size statistics.  The files go away
-    when the application ends.
+    when the application ends, or with the `cut_points` block around the call.
     """
     spark = df.sparkSession
     path = f"{work_dir(spark)}/contractlens/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    target, fs = _folder(spark, path)
+    fs.deleteOnExit(target)
+    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def cut_points(spark: SparkSession):
+    """Delete the cut points written inside the block; for jobs whose results are stored by its end."""
+    mark = len(_written)
+    try:
+        yield
+    finally:
+        for path in _written[mark:]:
+            target, fs = _folder(spark, path)
+            fs.delete(target, True)
+        del _written[mark:]

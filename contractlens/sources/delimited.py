@@ -65,8 +65,8 @@ def number_rows(rows: DataFrame) -> DataFrame:
     return rows.join(placed, "_block").withColumn("source_row_number", number.cast("long"))
 
 
-def store_raw(df: DataFrame, folder: str, batch_id: int) -> DataFrame:
-    """Store the raw rows of a batch whole; a re-run of the batch replaces them."""
+def store_batch(df: DataFrame, folder: str, batch_id: int) -> DataFrame:
+    """Store the rows of a batch whole; a re-run of the batch replaces them."""
     path = f"{folder}/batch_id={batch_id}"
     df.drop("batch_id").write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path).withColumn("batch_id", F.lit(batch_id))

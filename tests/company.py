@@ -9,11 +9,10 @@ from __future__ import annotations
 import os
 from decimal import Decimal
 
-from contractlens import config
-from contractlens.functions.scalar import fold  # noqa: F401
 
 PERIOD = "2025-01-01"
 
+# Fixed values.
 CLIENTS = [(f"C{i:03d}", f"Cliente {i}", "SEGMENTO") for i in range(1, 9)]
 UNIT_CLIENT = {1: 1, 2: 2, 3: 3, 4: 4, 5: 5, 6: 6, 7: 7, 8: 8, 9: 8, 10: 8}
 UNITS = [(f"U{u:03d}", f"C{c:03d}") for u, c in UNIT_CLIENT.items()]
@@ -21,6 +20,7 @@ SERVICES = [(s, s.title()) for s in ("LIMPEZA", "PORTARIA", "RECEP", "MANUT", "A
 MANAGERS = [(f"G{i:03d}", f"Gestor {i}") for i in range(1, 9)]
 ROLES = [(r,) for r in ("AUX_LIMP", "PORT", "RECEP", "TEC_MANUT", "SUPERV", "ASSIST_ADM")]
 # (group, category, subcategory, labor)
+# Fixed values.
 CATEGORIES = [
     ("Mão de obra", "Folha", "Salários", True),
     ("Mão de obra", "Encargos", "Encargos sociais", True),
@@ -31,6 +31,7 @@ CATEGORIES = [
     ("Operação", "Equipamentos", "Manutenção de equipamentos", False),
     ("Operação", "Transporte", "Deslocamentos", False),
 ]
+# Fixed values.
 INCIDENT_TYPES = [
     ("Cobertura", "Posto descoberto", "Ausência"),
     ("Cobertura", "Atraso na substituição", "Equipe reduzida"),
@@ -40,6 +41,7 @@ INCIDENT_TYPES = [
 ]
 
 # contract, client, unit, service, manager, billing, complexity, start, renewal, amount, positions, hours, target %, base month
+# Fixed values.
 CONTRACTS = [
     (1, 1, 1, "FACINT", 1, "Mensal fixo", "Alta", "01/01/2024", "31/12/2026", 580000, 82, 18040, "14,5%", 1),
     (2, 2, 2, "LIMPEZA", 2, "Mensal fixo", "Média", "15/02/2023", "14/02/2027", 210000, 28, 6160, "16,0%", 5),
@@ -54,6 +56,7 @@ CONTRACTS = [
 ]
 
 # contract -> (contracted, additional, reimbursed, discount, deduction, penalty)
+# Fixed values.
 MEASUREMENTS = {
     1: (580000, 12000, 1800, 0, 8000, 12000), 2: (210000, 0, 0, 0, 0, 0), 3: (320000, 0, 0, 0, 0, 0),
     4: (460000, 0, 0, 0, 9500, 22000), 5: (128000, 0, 0, 6000, 0, 2000), 6: (185000, 0, 0, 0, 0, 0),
@@ -62,6 +65,7 @@ MEASUREMENTS = {
 PERIOD_TEXT = {2: "2025-01", 3: "01/01/2025"}
 
 # contract, role, planned, filled, headcount, planned h, regular h, overtime h, absence h, leave, hires, exits, open, replacement, coverage cost
+# Fixed values.
 WORKFORCE = [
     (1, "AUX_LIMP", 60, 52, 53, 13200, 12350, 950, 760, 14, 4, 6, 8, 38, 14000),
     (1, "TEC_MANUT", 14, 13, 13, 3080, 2890, 180, 140, 4, 1, 1, 1, 28, 3500),
@@ -87,6 +91,7 @@ WORKFORCE = [
 ]
 
 # contract, type, opened, closed, deadline h, severity, recurrent, deduction, penalty, emergency
+# Fixed values.
 INCIDENTS = [
     (1, 0, "03/01/2025 06:30", "03/01/2025 18:40", 8, "Alta", "Sim", 2000, 4000, 1200),
     (1, 1, "12/01/2025 07:10", "13/01/2025 11:30", 12, "Crítica", "Sim", 3500, 6000, 2500),
@@ -106,6 +111,7 @@ INCIDENTS = [
 ]
 
 # number, contract, type, expected, requested, approved, requested %, approved %, previous, approved amount, retroactive, amount, status
+# Fixed values.
 ADJUSTMENTS = [
     ("AJ-002", 2, "Reajuste", "15/05/2024", "10/05/2024", "20/01/2025", "6,50%", "6,00%", 198113.21, 210000, "Sim", 71320.74, "Aprovado"),
     ("AJ-008", 8, "Reajuste", "01/09/2024", "20/08/2024", "", "7,10%", "", 410000, None, "Não", 0, "Solicitado"),
@@ -116,6 +122,7 @@ ADJUSTMENTS = [
 
 # Our own cost file: contract -> (subcategory index, actual, budget, extraordinary) lines, 56 in all.
 S, E, B, H, C, M, Q, D = range(8)
+# Fixed values.
 COSTS = {
     1: [(S, 300000, 295000, 0), (E, 130000, 128000, 0), (B, 48000, 47000, 0), (H, 38000, 18000, 1), (C, 24000, 9000, 1), (M, 15000, 15000, 0), (Q, 6000, 6000, 0)],
     2: [(S, 100000, 100000, 0), (E, 44000, 44000, 0), (B, 17000, 17000, 0), (M, 8000, 8500, 0), (H, 3000, 3000, 0)],
@@ -129,6 +136,7 @@ COSTS = {
     10: [(S, 350000, 350000, 0), (E, 154000, 154000, 0), (B, 57000, 57000, 0), (H, 16000, 15000, 0), (M, 22000, 22000, 0)],
 }
 
+# Fixed values.
 EXPECTED_ACTIONS = {
     "CT-001": "REINFORCE_COVERAGE", "CT-002": "REVIEW_RETROACTIVE", "CT-003": "FORMALIZE_SCOPE",
     "CT-004": "SLA_RECOVERY_PLAN", "CT-005": "ASSESS_NON_RENEWAL", "CT-007": "EXPAND",
@@ -230,9 +238,11 @@ def dimensions(spark) -> dict:
 # --- history -------------------------------------------------------------------
 
 FIRST_MONTH, MONTHS = "2024-07-01", 24
+# Fixed values.
 NORMAL_COST = {1: "1.0000", 2: "0.9400", 3: "0.9750", 4: "1.1000", 5: "1.1800", 6: "1.0150", 7: "0.9800", 8: "0.9950", 9: "1.1070", 10: "1.0430"}
 
 # contract, first month, last month, values; later rules win per column.
+# Fixed values.
 PLAN_RULES = [
     (1, "2024-07-01", "2025-12-01", dict(coverage_rate="0.92", overtime_rate="0.08", vacancy_rate="0.08", overtime_factor="2.2", coverage_factor="3.2", incident_count=2, critical_incident_count=1, recurrent_incident_count=1, sla_miss_count=1, sla_financial_loss="8000", event_code="COVERAGE_DETERIORATION")),
     (1, "2026-01-01", "2026-06-01", dict(coverage_rate="0.97", overtime_rate="0.03", overtime_factor="1.2", event_code="COVERAGE_RECOVERY")),
@@ -254,11 +264,13 @@ RULE_COLUMNS = {
     "sla_miss_count": "int", "sla_financial_loss": "decimal(18,2)", "one_time_extra_cost": "decimal(18,2)",
     "event_code": "string",
 }
+# Fixed values.
 EXPECTED_LAST_ACTIONS = {
     "CT-002": "MAINTAIN", "CT-005": "ASSESS_NON_RENEWAL", "CT-007": "EXPAND", "CT-008": "REQUEST_ADJUSTMENT",
     "CT-009": "REINFORCE_COVERAGE",
 }
 # contract, action, recommended, started, completed, status, estimate, actual, result
+# Fixed values.
 ACTION_EVENTS = [
     (2, "REVIEW_RETROACTIVE", "2025-01-20", "2025-01-20", "2025-02-10", "COMPLETED", "71320.74", "71320.74", "RECOVERED"),
     (4, "SLA_RECOVERY_PLAN", "2025-07-20", "2025-08-01", "2025-08-30", "COMPLETED", "65000", "51000", "IMPROVED"),

@@ -5,7 +5,6 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from contractlens.functions.scalar import date_key
 from contractlens.operators import checks
 from contractlens.plans import loading, marts, staging
 from contractlens.plans.loading import batch_audit
