@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from contractlens.llm.common import materialize, small_batches, work_dir
+from contractlens.llm.common import small_batches, work_dir
 
 FILE_BYTES = 16 << 20  # payload bytes per archive file, about
 RANGE_ROWS = 50_000  # captures per merged range, about
