@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from contractlens.llm.common import materialize
+from contractlens.operators.shape import dense_number
 
 BUCKET_ROWS = 4096  # about so many documents share one running-sum window
 SORT_ROWS = 100_000  # about so many queue entries share one sorted partition
@@ -33,11 +34,10 @@ def source_targets(
     its source; the excess goes to the others by weight.  That level is raised
     until no further source reaches its stop; only sums leave the cluster.
     """
-    # One row per source, numbered in order.
-    ranked = Window.orderBy(F.col("_null"), F.col("_key"))
-    place = (F.row_number().over(ranked) - 1) % len(weights)
+    numbered = dense_number(totals, "_number", [F.asc("_null"), F.asc("_key")])
+    place = ((F.col("_number") - 1) % len(weights)).cast("int")
     weight = F.element_at(F.array(*[F.lit(w) for w in weights]), place + 1).cast("long")
-    sources = materialize(totals.withColumn("weight", weight), "sources")
+    sources = materialize(numbered.withColumn("weight", weight).drop("_number"), "sources")
     budget = (sources.agg(F.sum("source_size")).first()[0] or 0) * share
     stop, level, held = F.col("source_size") * max_repeats, 0.0, -1
     while True:
