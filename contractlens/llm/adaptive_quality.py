@@ -153,19 +153,21 @@ def judge(docs: DataFrame, keep_text: bool = True) -> DataFrame:
     NULL language or source is a group of its own; a NULL or empty text has no
     words and fails the base rules; equal rows get equal verdicts; an empty
     table stays empty.  Columns of the same names in the input are replaced.
-    The counted table is written once, without the text if it is not needed;
-    sketches and verdicts read it.
+    The counts are written once, without the text, for the sketches.  Where the
+    result keeps the text, verdicts count again while they read it: a second
+    pass over the text instead of a copy or a shuffle of it.
     """
     named = lambda c: F.when(F.col(c).isNull(), F.lit("")).otherwise(F.concat(F.lit("="), F.col(c)))
     counted = with_counts(docs).withColumns({"_lang": named("lang"), "_source": named("source")})
-    counted = materialize(counted if keep_text else counted.drop("text"), "counted")
-    limits = materialize(group_limits(sketches(counted)), "limits")
+    narrow = materialize(counted.drop("text"), "counted")
+    limits = materialize(group_limits(sketches(narrow)), "limits")
     within = F.lit(True)
     for name, (e, *_) in RATES.items():
         within = within & F.coalesce(F.expr(e).between(F.col(f"_limits.{name}.lower"), F.col(f"_limits.{name}.upper")), F.lit(True))
     keyed = limits.select("_lang", "_source", F.struct(*RATES).alias("_limits"))
     return (
-        counted.join(keyed, ["_lang", "_source"], "left")
+        (counted if keep_text else narrow)
+        .join(keyed, ["_lang", "_source"], "left")
         .withColumn("kept", ~F.col("base_failed") & within)
         .drop("_lang", "_source", "_limits")
     )
