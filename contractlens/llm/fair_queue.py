@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from contractlens.llm.common import materialize
 from contractlens.operators.shape import dense_number
 
-BUCKET_ROWS = 4096  # about so many documents share one running-sum window
+BUCKET_ROWS = 512  # about so many documents share one running-sum window
 SORT_ROWS = 100_000  # about so many queue entries share one sorted partition
 BEFORE = (Window.unboundedPreceding, -1)
 UP_TO = (Window.unboundedPreceding, Window.currentRow)
