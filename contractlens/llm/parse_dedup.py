@@ -33,8 +33,7 @@ from contractlens.llm.hashing import BYTE_CODES, U, Powers, Prefix, mix
 
 LENGTH = 400
 GRAM = 16  # bytes that decide on a phrase start
-ONE_IN = 64  # positions start a phrase, on average
-STEP = 128  # segments hold windows whose next phrase start is at most so far apart
+ONE_IN = 64  # positions start a phrase, on average; more of them for short windows, see `one_in`
 PIECE = 16  # windows of a piece of a segment
 WIDE, GAP = 1 << 27, 1 << 20  # a place is start * WIDE + further windows * GAP + distance to the phrase start
 BLOCK_BYTES = 1 << 19
@@ -64,12 +63,17 @@ def byte_blocks(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]
         at = to
 
 
-def phrase_starts(prefix: Prefix, n: int) -> np.ndarray:
+def one_in(length: int) -> int:
+    """Positions per phrase start: so few that windows of ``length`` bytes without a phrase start stay rare."""
+    return max(1, min(ONE_IN, length // 6))
+
+
+def phrase_starts(prefix: Prefix, n: int, length: int) -> np.ndarray:
     """Positions whose next GRAM bytes have a rolling hash in the trigger set."""
     if n < GRAM:
         return np.empty(0, np.int64)
     rolling = (prefix.sums[GRAM:] - prefix.sums[: n - GRAM + 1]) * prefix.down[: n - GRAM + 1]
-    return np.flatnonzero((rolling * U(0x9FB21C651E98DF25)) >> U(40) < U((1 << 24) // ONE_IN))
+    return np.flatnonzero((rolling * U(0x9FB21C651E98DF25)) >> U(40) < U((1 << 24) // one_in(length)))
 
 
 def segments(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
@@ -80,7 +84,7 @@ def segments(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.nda
     holds a segment with the same bytes.
     """
     prefix = Prefix(data)
-    starts = phrase_starts(prefix, len(data))
+    starts = phrase_starts(prefix, len(data), length)
     row = np.searchsorted(offsets, starts, "right") - 1
     inside = starts + GRAM <= offsets[row + 1]
     starts, row = starts[inside], row[inside]
@@ -94,9 +98,10 @@ def segments(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.nda
     previous = np.where(np.append(True, owner[1:] != owner[:-1]), offsets[owner], np.append(0, place[:-1]))
     last = offsets[owner + 1] - length
     reach = length - GRAM
+    step = 2 * one_in(length)  # segments hold windows whose next phrase start is at most so far apart
     out: list[tuple[np.ndarray, ...]] = []
     low_bound = 0
-    for tier, bound in enumerate([*range(STEP, reach, STEP), reach]):
+    for tier, bound in enumerate([*range(step, reach, step), reach]):
         low, high = np.maximum(previous, far - bound), np.minimum(far - 1 - low_bound, last)
         ok = low <= high
         at, low, high, own = far[ok], low[ok], high[ok], owner[ok]

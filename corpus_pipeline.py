@@ -9,7 +9,8 @@ from contractlens.llm import adaptive_quality, dart_minhash, fair_queue, parse_d
 from contractlens.llm.common import DOCUMENT_COLUMNS, materialize, table, word_count
 from contractlens.llm.queries import piece_model
 
-PASSAGE_BYTES = 300  # about fifty words
+PASSAGE_WORDS = 51  # passages of more than fifty words
+PASSAGE_BYTES = 2 * PASSAGE_WORDS - 1  # the least they can have: a byte per word and one between two words
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,7 +30,10 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 3: passages that repeat within or across documents are cut out; the documents stay."""
+    """Operator 3: passages that repeat within or across documents are cut out; the documents stay.
+
+    The length is in bytes, so repeats of fewer but longer words go as well.
+    """
     cut = parse_dedup.without_repeats(docs, length=PASSAGE_BYTES)
     return cut.withColumn("n_chars", F.length("text").cast("long")).select(*DOCUMENT_COLUMNS)
 

@@ -1,3 +1,5 @@
+import random
+
 import corpus_pipeline as cp
 from contractlens.llm.common import DOCUMENT_COLUMNS, table
 from tests.llm.helpers import documents, near_classes, prose, repeated_bytes
@@ -36,3 +38,14 @@ def test_empty_and_odd_rows_pass_every_stage(spark):
         for _, stage in cp.STAGES:
             docs = stage(spark, docs, SF).cache()
         assert docs.count() >= (1 if rows else 0)
+
+
+def test_passages_of_51_short_words_are_cut(spark):
+    rng = random.Random(5)
+    words = lambda n, sizes: " ".join("".join(rng.choices("abcdefghij", k=rng.choice(sizes))) for _ in range(n))
+    passages = [words(51, s) for s in ([1], [1, 2], [1, 2, 3], [2, 3, 4], [5, 6])] + [words(50, [1])]
+    assert len(passages[0]) == 101 and len(passages[3]) < 300 < len(passages[4])
+    held = lambda k, i, p: f"{prose(100 + 2 * k + i, 30)} {'xy'[i]}{p}{'xy'[i]} {prose(300 + 2 * k + i, 30)}"
+    rows = [(2 * k + i, held(k, i, p)) for k, p in enumerate(passages) for i in range(2)]
+    cut = dict(cp.STAGES)["repeated_passages"](spark, documents(spark, rows), SF)
+    assert {r.doc_id: r.text for r in cut.collect()} == {2 * k + i: held(k, i, p if k == 5 else "") for k, p in enumerate(passages) for i in range(2)}
