@@ -126,4 +126,4 @@ from (
     regexp_replace(regexp_replace(coalesce(text, ''), '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', '') as body
   from conversations)""")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quote_threads.thread(table(spark, sf_dir, "conversations"))
+    return quote_threads.thread(table(spark, sf_dir, "conversations")).drop("links")
