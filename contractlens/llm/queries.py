@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from contractlens.llm import (
     adaptive_quality, dart_minhash, fair_queue, language_mixture, licence_scan, norm_topk, parse_dedup, piece_codec,
-    quote_threads, warc_index,
+    pivot_clusters, quote_threads, warc_index,
 )
 from contractlens.llm.common import table, word_count
 
@@ -127,3 +127,8 @@ from (
   from conversations)""")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quote_threads.thread(table(spark, sf_dir, "conversations")).drop("links")
+
+
+@query("op13_pivot_clusters", pivot_clusters.oracle())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivot_clusters.cluster(table(spark, sf_dir, "embeddings"))
