@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contractlens.llm import (
-    adaptive_quality, dart_minhash, fair_queue, language_mixture, licence_scan, norm_topk, parse_dedup, piece_codec,
+    adaptive_quality, angle_negatives, dart_minhash, fair_queue, language_mixture, licence_scan, norm_topk, parse_dedup, piece_codec,
     pivot_clusters, quote_threads, warc_index,
 )
 from contractlens.llm.common import table, word_count
@@ -129,6 +129,13 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quote_threads.thread(table(spark, sf_dir, "conversations")).drop("links")
 
 
+@query("op12_angle_negatives", angle_negatives.oracle())
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", shifted)
+    return angle_negatives.mine(vectors, F.col("vec_id") % 100 == 0)
+
+
 @query("op13_pivot_clusters", pivot_clusters.oracle())
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivot_clusters.cluster(table(spark, sf_dir, "embeddings"))
