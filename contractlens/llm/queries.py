@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contractlens.llm import (
-    adaptive_quality, angle_negatives, dart_minhash, fair_queue, language_mixture, licence_scan, norm_topk, parse_dedup, piece_codec,
+    adaptive_quality, angle_negatives, dart_minhash, disclosure, fair_queue, language_mixture, licence_scan, norm_topk, parse_dedup, piece_codec,
     pivot_clusters, quote_threads, warc_index,
 )
 from contractlens.llm.common import table, word_count
@@ -129,6 +129,12 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quote_threads.thread(table(spark, sf_dir, "conversations")).drop("links")
 
 
+@query("op11_disclosure", disclosure.oracle())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = disclosure.sanitise(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 @query("op12_angle_negatives", angle_negatives.oracle())
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
