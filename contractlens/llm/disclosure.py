@@ -60,18 +60,21 @@ def total(numbers: Column) -> Column:
 
 
 def ends(widths: Column) -> Column:
-    """Running sums of an array: sums of blocks first, then inside the block."""
+    """Running sums of an array: sums of the blocks before, then inside the block; no step copies the array."""
+    block = lambda i: F.floor(i / BLOCK).cast("int")
+    every = F.sequence(F.lit(0), block(F.size(widths)))
+    within = F.sequence(F.lit(0), F.lit(BLOCK - 1))
+    cut = F.transform(every, lambda b: F.transform(within, lambda k: F.coalesce(F.get(widths, b * BLOCK + k), F.lit(0))))
 
     def inside(blocks: Column) -> Column:
-        before = F.transform(blocks, lambda _, b: total(F.slice(blocks, F.lit(1), b)))
-        base = lambda i: F.floor(i / BLOCK).cast("int")
-        return let(
-            before,
-            lambda sums: F.transform(widths, lambda _, i: F.get(sums, base(i)) + total(F.slice(widths, base(i) * BLOCK + 1, i % BLOCK + 1))),
-        )
+        def sums(each: Column) -> Column:
+            before = F.transform(each, lambda _, b: total(F.slice(each, F.lit(1), b)))
+            part = lambda i: total(F.slice(F.get(blocks, block(i)), F.lit(1), i % BLOCK + 1))
+            return let(before, lambda base: F.transform(widths, lambda _, i: F.get(base, block(i)) + part(i)))
 
-    every = F.sequence(F.lit(0), F.floor(F.size(widths) / BLOCK).cast("int"))
-    return let(F.transform(every, lambda b: total(F.slice(widths, b * BLOCK + 1, F.lit(BLOCK)))), inside)
+        return let(F.transform(blocks, total), sums)
+
+    return let(cut, inside)
 
 
 def luhn(digits: Column) -> Column:
@@ -146,8 +149,8 @@ def mentions(docs: DataFrame, text: str) -> DataFrame:
     body = docs.select(F.col(text).alias("_text"))
     shown = body.withColumns(all_found(F.col("_text"), True))
     shown = shown.withColumn("_all", F.concat(*[f"_{k}" for k in PLAIN])).filter(F.size("_all") > 0)
-    each = shown.select(F.md5(F.col("_text").cast("binary")).alias("text_key"), F.explode("_all").alias("m"))
-    return each.select("text_key", "m.entity", "m.words")
+    keyed = shown.select(F.md5(F.col("_text").cast("binary")).alias("text_key"), "_all")  # once per text, not per mention
+    return keyed.select("text_key", F.explode("_all").alias("m")).select("text_key", "m.entity", "m.words")
 
 
 def disclosing(docs: DataFrame, seen: DataFrame, text: str) -> DataFrame:
