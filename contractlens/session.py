@@ -43,6 +43,17 @@ def work_dir(spark: SparkSession) -> str:
     return configured.rstrip("/")
 
 
+@contextmanager
+def setting(spark: SparkSession, name: str, value: str):
+    """A session setting for the block's own jobs."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 _written: list[str] = []  # cut points of this application that are still there
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -47,6 +48,48 @@ def test_large_files_may_be_split(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def quoted_rows(many):
+    rng = random.Random(3)
+    odd = ["plain", "two\nlines", 'say ""hi""', "a;b", "\n\n;\n", '""', "x" * 300, "1\n2\r\n3\n4\n5", ""]
+    for n in range(1, many + 1):
+        value = rng.choice(odd)
+        yield n, value.replace('""', '"'), f'"{value}"' if rng.random() < 0.8 or set(value) & set('\n;"') else value
+
+
+def test_quoted_line_breaks_across_blocks(spark, tmp_path):
+    kept = list(quoted_rows(700))
+    folder = tmp_path / "many"
+    folder.mkdir()
+    for name, part in (("a.csv", kept), ("b.csv", kept[:7]), ("c.csv", kept[:200])):
+        body = "".join(f'{n};{raw};{n}" inch\n' + "\n" * (n % 11 == 0) for n, _, raw in part)
+        written(folder, name, f"\ufeffn;v;w\n{body}" + ("\n" if name == "b.csv" else ""))
+    trimmed = lambda v: v.strip(" ") or None
+    for size in ("97", "1024", "134217728"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        try:
+            out = read_delimited(spark, str(folder), ["n", "v", "w"], 1, file_column="file")
+            got = {(r.file[-5:], r.source_row_number): (r.n, r.v, r.w) for r in out.collect()}
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+        assert got == {
+            (name, n): (str(n), trimmed(v), f'{n}" inch')
+            for name, part in (("a.csv", kept), ("b.csv", kept[:7]), ("c.csv", kept[:200])) for n, v, _ in part
+        }
+
+
+def test_odd_quotes(spark, tmp_path):
+    with pytest.raises(ValueError, match="ends inside a quoted value"):
+        read_delimited(spark, written(tmp_path, "open.csv", 'a;b\n1;"x\n2;y\n'), ["a"], 1)
+    folder = tmp_path / "heads"
+    folder.mkdir()
+    written(folder, "a.csv", "a;b\n1;2\n")
+    written(folder, "b.csv", "a;c\n1;2\n")
+    with pytest.raises(ValueError, match="differs"):
+        read_delimited(spark, str(folder), ["a"], 1)
+
+
 def test_amounts_beyond_a_trillion(spark):
     one = spark.range(1).select(
         exposure(F.lit("2000000000000.00").cast("decimal(18,2)") * 12).alias("e"),
