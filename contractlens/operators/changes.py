@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contractlens.operators.shape import dense_number
+from contractlens.session import materialize
 
 
 def replace_slice(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -102,6 +103,7 @@ def scd2_merge(
             )
         ).alias("v")
     ).select("v.*")
+    versions = materialize(versions, "versions")  # the outer join runs once for the kept and the numbered rows
     last_key = F.coalesce(dimension.agg(F.max(surrogate)).scalar(), F.lit(0))
     added = dense_number(versions.filter(F.col(surrogate).isNull()), "_n", [F.asc(code)])
     return (

@@ -10,6 +10,7 @@ from contractlens.operators.changes import replace_slice, scd2_merge
 from contractlens.operators.temporal import effective_dated_join
 from contractlens.plans.staging import CONTRACT_HASH
 
+# The attributes of a contract version, in the order its hash takes them.
 CONTRACT_ATTRIBUTES = [
     "client_code", "manager_code", "service_code", "contract_status", "billing_model", "complexity_level",
     "start_date", "end_date", "renewal_date", "base_monthly_amount", "contracted_positions", "contracted_hours",
@@ -22,6 +23,10 @@ CONTRACT_DIMENSION = (
     "contracted_hours decimal(18,2), target_margin_pct decimal(9,4), adjustment_base_month short, "
     "adjustment_index string, valid_from date, valid_to date, is_current boolean, row_hash binary"
 )
+BRIDGE = (
+    "contract_key long, service_code string, revenue_share_pct decimal(9,4), cost_share_pct decimal(9,4), "
+    "is_primary_service boolean, valid_from date, valid_to date"
+)
 assert CONTRACT_HASH == CONTRACT_ATTRIBUTES
 
 

@@ -3,8 +3,8 @@
     raw/<source>/batch_id=N        the file as it came
     rejected/<source>/batch_id=N   rows with their reasons
     staged/<source>/batch_id=N     valid typed rows
-    dw/contract/<version>          contract versions, one folder per batch
-    dw/<fact>/fact_month=M         facts, replaced by delivered slice
+    dw/contract/<version>          contract versions and service bridge, published together
+    dw/<fact>/                     facts by month under a manifest, replaced by delivered slice
     audit/                         one row per batch
 
 Running a batch again replaces what it left.
@@ -23,7 +23,8 @@ from contractlens.operators.shape import dense_number
 from contractlens.plans import batch, loading, staging
 from contractlens.session import cut_points, materialize
 from contractlens.sources.delimited import raw_columns, read_delimited, store_batch
-from contractlens.sources.slices import MONTH, exists, replace_slices
+from contractlens.sources import slices
+from contractlens.sources.slices import MONTH, exists
 from contractlens.sources.store import publish, read_table
 
 
@@ -66,24 +67,41 @@ def contracts(spark: SparkSession, root: str) -> DataFrame:
     return read_table(spark, f"{root}/dw/contract", "contract")
 
 
-def fact(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/dw/{name}")
+def bridge(spark: SparkSession, root: str) -> DataFrame:
+    """Service shares of the contract versions, of the same load as `contracts`."""
+    if not exists(spark, f"{root}/dw/contract"):
+        return spark.createDataFrame([], loading.BRIDGE)
+    return read_table(spark, f"{root}/dw/contract", "bridge")
+
+
+def fact(spark: SparkSession, root: str, name: str, months=None) -> DataFrame:
+    return slices.read(spark, f"{root}/dw/{name}", months)
+
+
+def latest_month(spark: SparkSession, root: str, name: str) -> int | None:
+    """yyyymm of the newest facts, from the manifest."""
+    return slices.state(spark, f"{root}/dw/{name}").latest_month
 
 
-def keyed_adjustments(spark: SparkSession, root: str, rows: DataFrame) -> DataFrame:
-    """Gives every process its `adjustment_key`: a stored one keeps it, new ones are numbered on by number."""
+def keyed_adjustments(spark: SparkSession, root: str, rows: DataFrame) -> tuple[DataFrame, int]:
+    """Gives every process its `adjustment_key`: a stored one keeps it, new ones are numbered on by number.
+
+    Keys are looked up in the months that hold a delivered number; the last key
+    given is in the manifest, so a key is never used twice.
+    """
     path = f"{root}/dw/adjustments"
-    if exists(spark, path):
-        known = spark.read.parquet(path).select("adjustment_number", "adjustment_key")
+    now = slices.state(spark, path)
+    numbers = materialize(rows.select("adjustment_number").distinct(), "numbers")
+    months = {r[0] for r in slices.known_months(spark, path, now, numbers, "adjustment_number").select(MONTH).distinct().collect()}
+    if months:
+        known = slices.read(spark, path, months, now).select("adjustment_number", "adjustment_key")
         rows = rows.join(known, "adjustment_number", "left")
-        last = known.agg(F.max("adjustment_key")).first()[0] or 0
     else:
-        rows, last = rows.withColumn("adjustment_key", F.lit(None).cast("long")), 0
+        rows = rows.withColumn("adjustment_key", F.lit(None).cast("long"))
     rows = materialize(rows, "adjustments")
-    new = dense_number(rows.filter("adjustment_key is null"), "_n", [F.asc("adjustment_number")])
-    return rows.filter("adjustment_key is not null").unionByName(
-        new.withColumn("adjustment_key", (F.col("_n") + last).cast("long")).drop("_n")
-    )
+    new = materialize(dense_number(rows.filter("adjustment_key is null"), "_n", [F.asc("adjustment_number")]), "numbered")
+    added = new.withColumn("adjustment_key", (F.col("_n") + now.last_key).cast("long")).drop("_n")
+    return rows.filter("adjustment_key is not null").unionByName(added), now.last_key + new.count()
 
 
 def run_load(
@@ -132,13 +150,22 @@ def _load_contracts(spark: SparkSession, root: str, staged: DataFrame, batch_id:
         raise ValueError(f"contract codes delivered twice: {', '.join(r.contract_code for r in repeated)}")
     folder = f"{root}/dw/contract"
     merged = materialize(loading.load_contracts(contracts(spark, root), staged), "contract")
+    shares = loading.load_bridge(bridge(spark, root), merged, staged)
     runs = spark.read.parquet(f"{folder}/current").count() if exists(spark, folder) else 0
-    publish(spark, folder, f"batch-{batch_id}-{runs}", {"contract": merged})
+    publish(spark, folder, f"batch-{batch_id}-{runs}", {"contract": merged, "bridge": shares})
+
+
+def month_number(day: str):
+    return F.date_format(month_of(F.col(day).cast("date")), "yyyyMM").cast("int").alias(MONTH)
 
 
 def _load_facts(spark: SparkSession, root: str, table: FactTable, staged: DataFrame, dims: dict[str, DataFrame]) -> None:
-    rows = table.load(staged, dims)
+    rows, last_key = table.load(staged, dims), None
     if table.name == "adjustments":
-        rows = keyed_adjustments(spark, root, rows)
-    rows = rows.withColumn(MONTH, F.date_format(month_of(F.col(table.day).cast("date")), "yyyyMM").cast("int"))
-    replace_slices(spark, f"{root}/dw/{table.name}", rows, staged, table.keys)
+        rows, last_key = keyed_adjustments(spark, root, rows)
+    numbered = len(table.keys) == 1
+    delivered = staged if numbered else staged.withColumn(MONTH, month_number(table.day))
+    slices.replace_slices(
+        spark, f"{root}/dw/{table.name}", rows.withColumn(MONTH, month_number(table.day)), delivered, table.keys,
+        numbered=numbered, last_key=last_key,
+    )

@@ -22,7 +22,7 @@ def publish(spark: SparkSession, root: str, version: str, tables: dict[str, Data
     for name, df in tables.items():
         writer = df.write.mode("overwrite")
         if name in partitions:
-            writer = df.repartition(*partitions[name]).write.mode("overwrite").option("maxRecordsPerFile", ROWS_PER_FILE)
+            writer = df.hint("rebalance", *partitions[name]).write.mode("overwrite").option("maxRecordsPerFile", ROWS_PER_FILE)
             writer = writer.partitionBy(*partitions[name])
         writer.parquet(f"{root}/{version}/{name}")
     pointer = spark.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("published_at"))
@@ -37,9 +37,3 @@ def current_version(spark: SparkSession, root: str) -> str:
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{current_version(spark, root)}/{name}")
-
-
-def register_views(spark: SparkSession, root: str, names) -> None:
-    """Temporary views over the tables of the current version."""
-    for name in names:
-        read_table(spark, root, name).createOrReplaceTempView(name)
