@@ -11,7 +11,8 @@ from contractlens import config
 from contractlens.driver import facts
 from contractlens.driver.registry import query, table
 from contractlens.functions.scalar import code_lookup, fold, money, month_of, rate
-from contractlens.operators import changes, checks, overlay, shape, temporal
+from contractlens.operators import changes, checks, constraints, overlay, shape, temporal
+from contractlens.operators.constraints import Constraints, Reference
 from contractlens.plans import base as base_plan
 from contractlens.session import materialize
 from contractlens.sources.calendar import calendar_between
@@ -789,6 +790,62 @@ def expectations(spark, sf):
     )
 
 
+ORDER_RULES = {
+    "region": Constraints(["r_regionkey"], {"name is set": "r_name <> ''"}, {"region key": ["r_regionkey"], "region name": ["r_name"]}),
+    "nation": Constraints(["n_nationkey"], {}, {"nation key": ["n_nationkey"]}, {"region": Reference(["n_regionkey"], "region", ["r_regionkey"])}),
+    "customer": Constraints(
+        ["c_custkey"], {"balance is positive": "c_acctbal > 0"}, {"customer key": ["c_custkey"], "one customer per nation and segment": ["c_nationkey", "c_mktsegment"]},
+        {"nation": Reference(["c_nationkey"], "nation", ["n_nationkey"])}, required=["c_name"],
+    ),
+    "supplier": Constraints(["s_suppkey"], {"balance is positive": "s_acctbal > 0"}, {"supplier key": ["s_suppkey"]}, {"nation": Reference(["s_nationkey"], "large_nation", ["n_nationkey"])}),
+    "orders": Constraints(
+        ["o_orderkey"], {"status is known": "o_orderstatus IN ('P', 'O')", "urgent orders are large": "o_orderpriority <> '1-URGENT' OR o_totalprice >= 100000"},
+        {"order key": ["o_orderkey"], "one order per customer and day": ["o_custkey", "o_orderdate"]}, {"rich customer": Reference(["o_custkey"], "rich_customer", ["c_custkey"])},
+    ),
+    "lineitem": Constraints(
+        ["l_orderkey", "l_linenumber"], {"discount is a share": "l_discount BETWEEN 0 AND 1", "large lines have a discount": "l_quantity < 40 OR l_discount > 0"},
+        {"line key": ["l_orderkey", "l_linenumber"], "one line per part and supplier": ["l_partkey", "l_suppkey"]}, {"order": Reference(["l_orderkey"], "orders", ["o_orderkey"])},
+    ),
+}
+
+
+def _sql_conditions() -> list[str]:
+    """One SELECT of (table, constraint, kind, row) per constraint."""
+    parents = {"rich_customer": "(SELECT * FROM customer WHERE c_acctbal > 5000)", "large_nation": "(SELECT * FROM nation WHERE n_nationkey < 20)"}
+    out = []
+    for name, rules in ORDER_RULES.items():
+        row = " || '|' || ".join(f"CAST({c} AS VARCHAR)" for c in rules.identity)
+        head = lambda what, kind: f"SELECT '{name}' AS table_name, '{what}' AS constraint_name, '{kind}' AS kind, {row} AS row_id FROM {name} t"  # noqa: B023, E731
+        out += [f"{head(n, 'check')} WHERE NOT ({rule})" for n, rule in rules.rules().items()]
+        out += [f"{head(n, 'unique')} QUALIFY COUNT(*) OVER (PARTITION BY {', '.join(c)}) > 1" for n, c in rules.unique.items()]
+        for n, ref in rules.references.items():
+            pairs = " AND ".join(f"p.{b} = t.{a}" for a, b in zip(ref.columns, ref.parent_columns))
+            out.append(f"{head(n, 'reference')} WHERE NOT EXISTS (SELECT 1 FROM {parents.get(ref.parent, ref.parent)} p WHERE {pairs})")
+    return out
+
+
+def _constrained(spark, sf):
+    tables = {name: table(spark, sf, name) for name in ORDER_RULES}
+    return tables | {"rich_customer": tables["customer"].filter("c_acctbal > 5000"), "large_nation": tables["nation"].filter("n_nationkey < 20")}
+
+
+@query(
+    "constraints",
+    "WITH broken AS (" + " UNION ALL ".join(f"({c})" for c in _sql_conditions()) + """),
+declared(table_name, constraint_name, kind) AS (VALUES """ + ", ".join(
+        f"('{t}', '{n}', '{kind}')" for t, r in ORDER_RULES.items() for kind, names in (("check", r.rules()), ("unique", r.unique), ("reference", r.references)) for n in names
+    ) + """)
+SELECT d.*, COUNT(row_id) AS broken_rows, CAST(COUNT(row_id) = 0 AS BIGINT) AS passed FROM declared d LEFT JOIN broken USING (table_name, constraint_name, kind) GROUP BY ALL""",
+)
+def constraints_report(spark, sf):
+    return constraints.report(_constrained(spark, sf), ORDER_RULES)
+
+
+@query("constraint_rows", " UNION ALL ".join(f"({c})" for c in _sql_conditions()))
+def constraint_rows(spark, sf):
+    return constraints.broken_rows(_constrained(spark, sf), ORDER_RULES)
+
+
 @query(
     "reconcile",
     f"""SELECT reference_month, CAST(a AS DOUBLE) AS left_total, CAST(b AS DOUBLE) AS right_total, CAST(abs(a - b) AS DOUBLE) AS difference, CAST(abs(a - b) <= 0.01 AS BIGINT) AS passed FROM (

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from contractlens.functions.scalar import _c, code_lookup, fold, month_of, normalize_code
 
 # Accepted shapes.
+NUMBER = r"^[+-]?\d*\.?\d*$"
 THOUSANDS_DOT = r"\.[^.]{3}$"
 DAY_FIRST = r"^\d{1,2}/\d{1,2}/\d{4}( \d{1,2}:\d{2}(:\d{2})?)?$"
 ISO = r"^\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{2}(:\d{2})?)?$"
@@ -26,6 +27,7 @@ def parse_decimal(c, type_: str = "decimal(18,4)") -> Column:
 
     A comma is the decimal mark.  Without one, a final dot followed by exactly
     three characters groups thousands (``18.040`` -> 18040, ``1.5`` -> 1.5).
+    Exponents are no numbers here.
     """
     digits = F.regexp_replace(F.trim(_c(c)), r"R\$|[% ]", "")
     without_dots = F.replace(digits, F.lit("."), F.lit(""))
@@ -34,7 +36,7 @@ def parse_decimal(c, type_: str = "decimal(18,4)") -> Column:
         .when(digits.rlike(THOUSANDS_DOT), without_dots)
         .otherwise(digits)
     )
-    parsed = plain.try_cast("decimal(18,4)")
+    parsed = F.when(plain.rlike(NUMBER), plain).try_cast("decimal(18,4)")
     if type_ == "decimal(18,4)":
         return parsed
     return parsed.try_cast(type_)

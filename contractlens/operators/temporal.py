@@ -78,12 +78,10 @@ def asof_last_by_month(
     return carried.select(*[F.col(c) for c in left.columns], *picked)
 
 
-def version_months(
-    versions: DataFrame, valid_from: str, valid_to: str, first: Column, last: Column, month: str = "_month"
-) -> DataFrame:
-    """One row per version and month it touches, clipped to ``first``..``last``."""
-    start = F.greatest(month_of(valid_from), month_of(first))
-    end = F.least(F.coalesce(month_of(valid_to), month_of(last)), month_of(last))
+def version_months(versions: DataFrame, valid_from: str, valid_to: str, last: Column, month: str = "_month") -> DataFrame:
+    """One row per version and month it touches, up to the month ``last``."""
+    start, cap = month_of(valid_from), month_of(last)
+    end = F.least(F.coalesce(month_of(valid_to), cap), cap)
     months = F.when(start <= end, F.sequence(start, end, F.expr("interval 1 month")))
     return versions.withColumn(month, F.explode(months))
 
@@ -99,21 +97,23 @@ def effective_dated_join(
 ) -> DataFrame:
     """Join each fact to the version valid on its date (inner).
 
-    Versions are expanded to the months they touch inside the facts' own date
-    range, so the join is an equality on (key, month) with a date check left
-    over; a hot key is spread over its months.
+    Versions are expanded to the months they touch, so the join is an equality on
+    (key, month) with a date check left over; a hot key is spread over its months.
+    Months end with the one in which the last version starts: a version valid on a
+    later day touches that month too, so later facts look there.  The facts are
+    read once, and a version without an end, or one far away, costs no months that
+    tell nothing new.
     """
-    span = facts.agg(F.min(fact_date).alias("lo"), F.max(fact_date).alias("hi"))
-    lo, hi = span.select("lo").scalar(), span.select("hi").scalar()
+    last = versions.agg(F.max(valid_from).alias("last")).scalar()
     side = version_months(
         versions.select(*keys, valid_from, valid_to, *columns).withColumnsRenamed(
             {valid_from: "_from", valid_to: "_to"}
         ),
-        "_from", "_to", lo, hi,
+        "_from", "_to", last,
     )
     day = F.col(fact_date)
     return (
-        facts.withColumn("_month", month_of(fact_date))
+        facts.withColumn("_month", F.least(month_of(fact_date), month_of(last)))
         .join(side, [*keys, "_month"])
         .filter((day >= F.col("_from")) & (F.col("_to").isNull() | (day <= F.col("_to"))))
         .drop("_month", "_from", "_to")

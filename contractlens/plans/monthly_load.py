@@ -134,7 +134,7 @@ def _load(spark: SparkSession, root: str, batch_id: int, source, path: str, dims
     if source_name == "contract_register":
         _load_contracts(spark, root, staged, batch_id)
     else:
-        _load_facts(spark, root, FACTS[source_name], staged, refs)
+        load_facts(spark, root, FACTS[source_name], staged, refs)
     status = "PARTIAL" if rejected else "SUCCESS"
     row = (batch_id, source_name, received, received - rejected, rejected, status, None)
     _record(spark.createDataFrame([row], batch.AUDIT), root, batch_id)
@@ -159,7 +159,7 @@ def month_number(day: str):
     return F.date_format(month_of(F.col(day).cast("date")), "yyyyMM").cast("int").alias(MONTH)
 
 
-def _load_facts(spark: SparkSession, root: str, table: FactTable, staged: DataFrame, dims: dict[str, DataFrame]) -> None:
+def load_facts(spark: SparkSession, root: str, table: FactTable, staged: DataFrame, dims: dict[str, DataFrame]) -> None:
     rows, last_key = table.load(staged, dims), None
     if table.name == "adjustments":
         rows, last_key = keyed_adjustments(spark, root, rows)

@@ -62,6 +62,14 @@ def _folder(spark: SparkSession, path: str):
     return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A new folder beside the cut points, gone when the application ends."""
+    path = f"{work_dir(spark)}/contractlens/{name}-{uuid.uuid4().hex}"
+    target, fs = _folder(spark, path)
+    fs.deleteOnExit(target)
+    return path
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and read it back.
 
@@ -71,10 +79,8 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     when the application ends, or with the `cut_points` block around the call.
     """
     spark = df.sparkSession
-    path = f"{work_dir(spark)}/contractlens/{name}-{uuid.uuid4().hex}"
+    path = scratch_dir(spark, name)
     df.write.parquet(path)
-    target, fs = _folder(spark, path)
-    fs.deleteOnExit(target)
     _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 

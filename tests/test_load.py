@@ -9,9 +9,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from contractlens.functions.scalar import exposure, fold
-from contractlens.operators import checks
+from contractlens.operators import checks, constraints
 from contractlens.plans import measures, monthly_load
 from contractlens.plans.base import hundredths
+from contractlens.plans.constraints import DECLARED
 from contractlens.sources.calendar import calendar
 from contractlens.sources.delimited import read_delimited
 from contractlens.sources.store import publish, read_table
@@ -131,6 +132,16 @@ def test_load_leaves_facts_and_audit(spark, store):
     assert monthly_load.contracts(spark, root).filter("is_current").count() == 10
 
 
+def test_stored_tables_keep_their_constraints(spark, store):
+    root, _, dims = store
+    tables = {t.name: monthly_load.fact(spark, root, t.name) for t in monthly_load.FACTS.values()} | dims
+    tables |= {"contract": monthly_load.contracts(spark, root), "bridge": monthly_load.bridge(spark, root)}
+    assert tables["bridge"].count() == 10 and monthly_load.latest_month(spark, root, "revenue") == 202501
+    constraints.enforce(tables, DECLARED)
+    with pytest.raises(ValueError, match="revenue: contract exists"):
+        constraints.enforce(tables | {"contract": tables["contract"].limit(3)}, DECLARED)
+
+
 def test_second_run_of_a_batch_changes_nothing(spark, store):
     root, paths, dims = store
     before = rows(monthly_load.fact(spark, root, "adjustments"), "adjustment_number", "adjustment_key")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 from decimal import Decimal
 
 import pytest
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from contractlens import config
 from contractlens.functions import parse, scalar
-from contractlens.operators import changes, checks, overlay, quarantine, shape, temporal
+from contractlens.operators import changes, checks, constraints, overlay, quarantine, shape, temporal
 from contractlens.plans import actions, performance, risk, timeline
 from contractlens.plans.base import hundredths
 from contractlens.plans.measures import rolling_12_months, with_prior_month
@@ -120,6 +121,27 @@ def test_effective_dated_join_matches_brute_force(spark):
     assert rows(got, "k", "day", "v") == want
 
 
+def test_effective_dated_join_on_random_ranges(spark):
+    rng = random.Random(9)
+    day = lambda n: D(2020, 1, 1) + dt.timedelta(days=n)
+    versions, facts = [], []
+    for k in range(40):
+        at = rng.randrange(300)
+        for n in range(rng.randrange(1, 6)):
+            end = at + rng.randrange(0, 200)
+            last = rng.random() < 0.2
+            versions.append((f"k{k}", n, day(at), rng.choice([None, D(9999, 12, 31)]) if last else day(end)))
+            at = end + 1 + rng.choice([0, 0, 40])
+            if last:
+                break
+        facts += [(f"k{k}", day(rng.randrange(-100, 3000))) for _ in range(20)] + [(f"k{k}", v[2]) for v in versions[-2:]]
+    v = spark.createDataFrame(versions, "k string, v int, valid_from date, valid_to date")
+    f = spark.createDataFrame([(n, *x) for n, x in enumerate(facts)], "n int, k string, day date")
+    got = rows(temporal.effective_dated_join(f, v, ["k"], "day", columns=["v"]), "n", "v")
+    want = [(n, i) for n, (k, d) in enumerate(facts) for kk, i, s, e in versions if kk == k and s <= d and (e is None or d <= e)]
+    assert got == sorted(want, key=lambda t: tuple(map(str, t)))
+
+
 def test_latest_period(spark):
     df = spark.createDataFrame(MONTHS, "k string, month date")
     assert rows(temporal.latest_period(df, "month")) == [("a", D(2024, 6, 1))]
@@ -309,3 +331,26 @@ def test_prior_month_and_rolling_year_follow_the_calendar(spark):
     assert [r.prior_value for r in with_prior_month(df, "v").orderBy("reference_month").collect()] == [None, Decimal("0.1000"), None]
     rolled = rolling_12_months(df.withColumn("g", F.lit(1)), "v", ["g"]).orderBy("reference_month").collect()
     assert [float(r.v_12m) for r in rolled] == [0.10, 0.25, 0.35]
+
+
+def test_constraints_treat_null_as_a_database_does(spark):
+    parent = spark.createDataFrame([(1,), (2,), (None,)], "k int")
+    child = spark.createDataFrame([(1, 1, 5), (2, None, None), (3, 9, -1), (None, 2, 3), (None, 2, 4), (3, 1, 0)], "id int, parent int, amount int")
+    declared = {"child": constraints.Constraints(
+        ["id", "amount"], {"not negative": "amount >= 0"}, {"id": ["id"]}, {"parent": constraints.Reference(["parent"], "parent", ["k"])}, required=["id"],
+    )}
+    tables = {"child": child, "parent": parent}
+    assert rows(constraints.report(tables, declared), "constraint_name", "broken_rows", "passed") == [
+        ("id", 4, False), ("id is set", 2, False), ("not negative", 1, False), ("parent", 1, False)]
+    assert rows(constraints.broken_rows(tables, declared), "constraint_name", "row_id") == [
+        ("id", "3|-1"), ("id", "3|0"), ("id", "NULL|3"), ("id", "NULL|4"), ("id is set", "NULL|3"), ("id is set", "NULL|4"),
+        ("not negative", "3|-1"), ("parent", "3|-1"),
+    ]
+    with pytest.raises(ValueError, match="child: parent"):
+        constraints.enforce(tables, declared)
+    constraints.enforce({"child": child.filter("id = 1"), "parent": parent}, declared)
+
+
+def test_exponents_are_no_numbers(spark):
+    assert values(spark, "d", ["1e3", "1.5E2", "+7", "-.5", "7.", ".", "1,5e1"], parse.parse_decimal) == [
+        None, None, Decimal("7.0000"), Decimal("-0.5000"), Decimal("7.0000"), None, None]
