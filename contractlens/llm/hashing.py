@@ -41,18 +41,26 @@ POWERS = Powers()
 
 
 class Prefix:
-    """Content hashes of any byte ranges of a buffer, from one prefix sum."""
+    """Content hashes of any ranges of a buffer, from one prefix sum; ``codes`` is None where it holds codes itself."""
 
-    def __init__(self, data: np.ndarray, powers: Powers = POWERS, codes: np.ndarray = BYTE_CODES):
+    def __init__(self, data: np.ndarray, powers: Powers = POWERS, codes: np.ndarray | None = BYTE_CODES):
         up, self.down = powers.upto(len(data))
-        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(codes[data] * up[: len(data)])])
+        values = data if codes is None else codes[data]
+        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * up[: len(data)])])
 
     def ranges(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Hash of bytes start..end-1 of each range; equal bytes give equal hashes."""
+        """Hash of start..end-1 of each range; equal content gives equal hashes."""
         content = (self.sums[end] - self.sums[start]) * self.down[start]
         return mix(content + (end - start).astype(np.uint64) * U(0xA24BAED4963EE407))
 
 
+def word_bounds(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First byte of every word, and the byte after it."""
+    blank = np.concatenate([[True], BLANK[data], [True]])
+    edges = np.flatnonzero(blank[1:] != blank[:-1])
+    return edges[0::2], edges[1::2]
+
+
 def words_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every word of the texts in turn, and the number of words of each text."""
     encoded = [t.encode("utf-8", "surrogatepass") for t in texts]

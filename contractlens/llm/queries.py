@@ -55,14 +55,16 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op3_parse_dedup")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = parse_dedup.repeated_spans(table(spark, sf_dir, "documents"))
-    length = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    found = parse_dedup.with_passages(table(spark, sf_dir, "documents"))
+    total = lambda spans: F.coalesce(F.aggregate(spans, F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"]), F.lit(0))
     return found.select(
         "doc_id",
         "n_bytes",
-        F.coalesce(length, F.lit(0)).cast("long").alias("n_removed"),
+        total("spans").cast("long").alias("n_removed"),
         F.greatest(F.coalesce(F.size("spans"), F.lit(0)), F.lit(0)).cast("long").alias("n_spans"),
         F.coalesce(F.sha2("kept", 256), F.col("whole_sha256")).alias("kept_sha256"),
+        total("passages").cast("long").alias("n_passage_words"),
+        (total("passages") > 0).alias("in_passage"),
     )
 
 
