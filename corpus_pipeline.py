@@ -9,43 +9,59 @@ from contractlens.llm import adaptive_quality, dart_minhash, fair_queue, parse_d
 from contractlens.llm.common import DOCUMENT_COLUMNS, materialize, table, word_count
 from contractlens.llm.queries import piece_model
 
-PASSAGE_WORDS = 51  # passages of more than fifty words
-PASSAGE_BYTES = 2 * PASSAGE_WORDS - 1  # the least they can have: a byte per word and one between two words
-
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 7: documents that the rules reject go."""
+    """Operator 7: documents that the rules reject go.
+
+    NULL and empty texts go with them; texts of any length are judged whole;
+    equal rows get equal verdicts; an empty table stays empty; columns beyond
+    those of documents go.
+    """
     return adaptive_quality.judge(docs).filter("kept").select(*DOCUMENT_COLUMNS)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 2: of each class of near copies the document with the smallest id stays, once.
+    """Operator 2: of each class of near copies one row stays, that with the smallest id (NULL last).
 
-    Rows without id belong to no class and stay.
+    Every row is a document of its own, whatever its id: different texts under
+    one id, or without id, all stay; equal texts are copies.  Rows without a word
+    are copies of nothing and stay.
     """
-    classes = dart_minhash.near_duplicates(docs)
-    first = docs.join(classes.filter("class_id <> doc_id").select("doc_id"), "doc_id", "left_anti")
-    own = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
-    return first.withColumn("_own", own).dropDuplicates(["doc_id", "_own"]).select(*DOCUMENT_COLUMNS)
+    rows = materialize(docs.select(*DOCUMENT_COLUMNS).withColumn("_row", F.monotonically_increasing_id()), "rows")
+    classes = dart_minhash.near_duplicates(rows.select("_row", "text"), doc_id="_row").select("_row", "class_id")
+    classes = materialize(classes, "classes")
+    order = F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id").alias("b"), F.col("_row").alias("_row"))
+    stay = classes.join(rows.select("_row", "doc_id"), "_row").groupBy("class_id").agg(F.min(order).alias("_first"))
+    gone = classes.join(stay.select("_first._row"), "_row", "left_anti").select("_row")
+    return rows.join(gone, "_row", "left_anti").select(*DOCUMENT_COLUMNS)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 3: passages that repeat within or across documents are cut out; the documents stay.
+    """Operator 3: passages of more than fifty words that stand twice, within or across documents, are cut out.
 
-    The length is in bytes, so repeats of fewer but longer words go as well.
+    A word goes if 51 words in a row that hold it also start anywhere else; runs
+    go with the white space inside.  All documents stay, NULL texts too.
     """
-    cut = parse_dedup.without_repeats(docs, length=PASSAGE_BYTES)
+    cut = parse_dedup.without_repeats(docs, length=parse_dedup.PASSAGE_WORDS, unit=parse_dedup.WORDS)
     return cut.withColumn("n_chars", F.length("text").cast("long")).select(*DOCUMENT_COLUMNS)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 4: every document as often as the mix serves it."""
+    """Operator 4: every document as often as the mix serves it.
+
+    Documents without words (NULL, empty) are not served; a NULL source is a
+    source; equal rows are served one by one; an empty table stays empty.
+    """
     mixed = fair_queue.fair_mix(docs, word_count(F.col("text")))
     return fair_queue.repeat_taken(mixed, DOCUMENT_COLUMNS)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 5: ids and decoded text, the last stage."""
+    """Operator 5: ids and decoded text, the last stage.
+
+    A NULL or empty text has no ids; whole texts are encoded; equal rows give
+    equal ids; an empty table stays empty.
+    """
     return piece_codec.encode(docs, piece_model(), keep=("doc_id", "lang", "source"))
 
 
