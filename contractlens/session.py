@@ -85,6 +85,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def settled(spark: SparkSession, job, name: str) -> DataFrame:
+    """The frame that ``job`` returns, written; the cut points made on the way are deleted at once."""
+    mark = len(_written)
+    result = materialize(job(), name)
+    for path in _written[mark:-1]:
+        target, fs = _folder(spark, path)
+        fs.delete(target, True)
+    del _written[mark:-1]
+    return result
+
+
 @contextmanager
 def cut_points(spark: SparkSession):
     """Delete the cut points written inside the block; for jobs whose results are stored by its end."""
