@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contractlens.session import materialize, work_dir  # noqa: F401
+from contractlens.session import materialize, settled, work_dir  # noqa: F401
 
 # Fixed value: the white space that separates words.
 SPACE = r"\x20\x09-\x0D"

@@ -16,8 +16,8 @@ Steps that narrow the work down:
    text from that start on, as far as all its windows hold it.  Segments with a
    key that occurs once are not repeated and go; this is nearly all of the corpus.
    Keys are counted alone first.  A bitmap of fixed size, set at the keys that occur
-   twice or more, then keeps most of the others from being sent with their places;
-   the join with the repeated keys decides, so a full bitmap costs time only.
+   twice or more, then keeps most of the others from being written with their
+   places; the count per kind decides, so a full bitmap costs time only.
 2. Segments that agree in all bytes of all their windows are repeated as a whole.
 3. Where segments of one key differ, the same is asked of their pieces.
 4. Only in pieces that differ at an edge are the windows compared one by one.
@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contractlens.llm.common import materialize, small_batches, text_blocks
+from contractlens.llm.common import materialize, settled, small_batches, text_blocks
 from contractlens.llm.hashing import BYTE_CODES, U, Powers, Prefix, mix, word_bounds, words_of
 
 LENGTH = 400
@@ -279,26 +279,24 @@ def windows(docs: DataFrame, length: int, unit: Unit) -> DataFrame:
     return docs.mapInArrow(run, ", ".join(f"{n} long" for n in names))
 
 
-def narrow(found: DataFrame, across: bool) -> tuple[DataFrame, DataFrame]:
-    """Places repeated as a whole, and places to look into: where kinds of one key differ, one of each repeated kind and all of the others.
+def narrow(found: DataFrame, across: bool) -> DataFrame:
+    """(id, h1, h2, sure, open): places repeated as a whole, and places to look into, by text.
 
-    ``across`` counts texts instead of places; a repeated kind is then shown by
-    two texts, so that each other text meets one that is not itself.
+    Places to look into: where kinds of one key differ and one of them is not
+    repeated, the places of that one, and of each other kind those of the texts
+    with the lowest and the highest hash, so that every text meets one that is
+    not itself.  ``across`` counts texts instead of places.
     """
-    each = found
-    if across:
-        each = found.groupBy("key", "whole", *KEYS).agg(F.lit(1).alias("n"), F.min("at").alias("at"))
-    place = F.struct(*KEYS, "at")
-    kinds = each.groupBy("key", "whole").agg(F.sum("n").alias("n"), F.min(place).alias("first"), F.max(place).alias("last"))
-    kinds = materialize(kinds, "kinds")
-    differ = kinds.groupBy("key").agg(F.count("*").alias("kinds"), F.min("n").alias("least")).filter("kinds > 1 and least = 1")
-    named = kinds.join(differ.select("key"), "key", "left_semi")
-    sure = found.join(kinds.filter("n > 1").select("key", "whole"), ["key", "whole"], "left_semi").select(*KEYS, "at")
-    if not across:  # a kind that is not repeated has one place
-        return sure, named.select("first.*")
-    single = found.join(named.filter("n = 1").select("key", "whole"), ["key", "whole"], "left_semi").select(*KEYS, "at")
-    shown = named.filter("n > 1")
-    return sure, shown.select("first.*").unionByName(shown.select("last.*")).unionByName(single)
+    found = found.withColumn("d", F.xxhash64(*KEYS))
+    kinds = found.groupBy("key", "whole").agg(F.sum("n").alias("n"), F.min("d").alias("low"), F.max("d").alias("high"))
+    repeated_ = (F.col("low") != F.col("high")) if across else (F.col("n") > 1)
+    kinds = materialize(kinds.withColumn("twice", repeated_), "kinds")
+    differ = kinds.groupBy("key").agg(F.count("*").alias("kinds"), F.count_if("twice").alias("several")).filter("kinds > 1 and several < kinds")
+    status = kinds.join(differ.select("key", F.lit(True).alias("differ")), "key", "left").filter("twice or differ")
+    shown = F.coalesce("differ", F.lit(False)) & (~F.col("twice") | F.col("d").isin(F.col("low"), F.col("high")))
+    placed = found.join(status, ["key", "whole"]).select(*KEYS, "at", "twice", shown.alias("open")).filter("twice or open")
+    of = lambda c: F.collect_set(F.when(F.col(c), F.col("at")))
+    return placed.groupBy(*KEYS).agg(of("twice").alias("sure"), of("open").alias("open"))
 
 
 def gone_symbols(batch: pa.RecordBatch, length: int, unit: Unit, across: bool) -> Iterator[tuple[int, np.ndarray]]:
@@ -360,27 +358,29 @@ def cutter(length: int, unit: Unit, as_text: bool, across: bool):
 
 
 def repeated(docs: DataFrame, length: int, unit: Unit = BYTES, as_text: bool = False, across: bool = False) -> DataFrame:
-    """(id, h1, h2, spans, kept) of the texts that hold a repeated window; others have no row."""
+    """(id, h1, h2, spans, kept) of the texts that hold a repeated window; others have no row.  Written, its cut points deleted."""
     spark = docs.sparkSession
     small_batches(spark)
-    often = key_rows(docs, length, unit, across).groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1").select("key")
-    often = materialize(often, "often")
-    found = place_rows(docs, length, unit, across, bitmap_of(often)).join(often, "key")
-    sure, open_ = narrow(materialize(found, "segments"), across)
-    which = sure.withColumn("sure", F.lit(True)).unionByName(open_.withColumn("sure", F.lit(False))).distinct()
-    of = lambda c: F.collect_list(F.when(c, F.col("at")))
-    lists = which.groupBy(*KEYS).agg(of(F.col("sure")).alias("sure"), of(~F.col("sure")).alias("open"))
-    texts = materialize(docs.join(materialize(lists, "lists"), KEYS).dropDuplicates(KEYS), "touched")
-
-    whole, differ = narrow(materialize(pieces(texts.filter(F.size("open") > 0), length, unit), "pieces"), across)
-    differ = differ.distinct().groupBy(*KEYS).agg(F.collect_list("at").alias("open"))
-    single = materialize(windows(texts.select(*KEYS, "text").join(differ, KEYS), length, unit), "windows")
-    held = single.select("w1", "w2", *KEYS).distinct() if across else single
-    twice = held.groupBy("w1", "w2").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
-    more = whole.unionByName(single.join(twice, ["w1", "w2"]).select(*KEYS, "at")).distinct()
-    more = more.groupBy(*KEYS).agg(F.collect_list("at").alias("more"))
-    schema = f"id long, h1 long, h2 long, spans array<struct<start:long,end:long>>, kept {'string' if as_text else 'binary'}"
-    return texts.drop("open").join(more, KEYS, "left").mapInArrow(cutter(length, unit, as_text, across), schema)
+
+    def run() -> DataFrame:
+        often = key_rows(docs, length, unit, across).groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1").select("key")
+        found = materialize(place_rows(docs, length, unit, across, bitmap_of(often)), "segments")
+        lists = materialize(narrow(found, across), "lists")
+        texts = materialize(docs.join(lists, KEYS).dropDuplicates(KEYS), "touched")
+
+        inner = materialize(pieces(texts.filter(F.size("open") > 0), length, unit), "pieces")
+        inner = materialize(narrow(inner, across), "inner")
+        asked = texts.select(*KEYS, "text").join(inner.filter(F.size("open") > 0).select(*KEYS, "open"), KEYS)
+        single = materialize(windows(asked, length, unit).withColumn("d", F.xxhash64(*KEYS)), "windows")
+        several = (F.min("d") != F.max("d")) if across else (F.count("*") > 1)
+        twice = single.groupBy("w1", "w2").agg(several.alias("several")).filter("several").drop("several")
+        last = single.join(twice, ["w1", "w2"]).groupBy(*KEYS).agg(F.collect_set("at").alias("last"))
+        more = inner.select(*KEYS, "sure").withColumnRenamed("sure", "more").join(last, KEYS, "left")
+        more = more.select(*KEYS, F.concat("more", F.coalesce("last", F.array().cast("array<bigint>"))).alias("more"))
+        schema = f"id long, h1 long, h2 long, spans array<struct<start:long,end:long>>, kept {'string' if as_text else 'binary'}"
+        return texts.drop("open").join(more, KEYS, "left").mapInArrow(cutter(length, unit, as_text, across), schema)
+
+    return settled(spark, run, "repeated")
 
 
 def repeated_spans(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
@@ -425,7 +425,7 @@ def without_repeats(
     """The documents, all of them, with repeated bytes (or words) cut out of their text (see `repeated_spans`)."""
     gone = repeated(identity(docs, doc_id, text), length, unit, as_text=True)
     names = [f"_{c}" for c in KEYS]
-    gone = materialize(gone.select(*[F.col(c).alias(n) for c, n in zip(KEYS, names)], F.col("kept").alias("_kept")), "cut")
+    gone = gone.select(*[F.col(c).alias(n) for c, n in zip(KEYS, names)], F.col("kept").alias("_kept"))
     body = F.coalesce(F.col(text), F.lit(""))
     keyed = docs.withColumns(dict(zip(names, text_keys(doc_id, body))))
     joined = keyed.join(gone, names, "left").withColumn(text, F.coalesce("_kept", text))
