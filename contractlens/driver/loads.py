@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from contractlens.driver.registry import query, table
 from contractlens.driver.relational import VERSION_SQL, order_versions
 from contractlens.functions.scalar import money, month_of
 from contractlens.plans import monthly_load
+from contractlens.plans.dimensions import Dimension, run_dimensions
 from contractlens.session import cut_points, scratch_dir, setting
 from contractlens.sources.calendar import calendar
 from contractlens.sources.delimited import read_delimited
+from contractlens.sources.store import read_table
 
 BLOCK_BYTES = (1 << 16, 1 << 27)
 
@@ -228,3 +232,46 @@ def load_adjustments(spark, sf):
     return deliver(spark, "contract_adjustments", twice(staged, "expected_date"), dimensions(spark, sf)).select(
         "adjustment_number", "contract_code", "expected_date", "contract_key", "adjustment_key", "expected_date_key", "requested_date_key"
     )
+
+
+# --- dimensions with lasting keys ------------------------------------------------
+
+PLACES = {
+    "customer": Dimension(("customer_code",), "customer_key"),
+    "supplier": Dimension(("supplier_code",), "supplier_key"),
+    "part_kind": Dimension(("brand", "kind"), "part_kind_key", update=False),
+}
+
+
+@query(
+    "dimension_upsert",
+    """WITH one AS (
+  SELECT 'customer' AS dimension, 'C' || c_custkey AS code, c_mktsegment AS label, c_custkey % 3 <> 0 AS early, c_custkey % 2 = 0 AS late, lower(c_mktsegment) AS relabel FROM customer
+  UNION ALL SELECT 'supplier', 'S' || s_suppkey, s_name, TRUE, s_suppkey % 5 = 0, upper(s_name) FROM supplier
+  UNION ALL SELECT 'part_kind', p_brand || '/' || p_type, CAST(MIN(p_size) FILTER (WHERE p_size <= 25) AS VARCHAR), MIN(p_size) <= 25, MAX(p_size) > 10, CAST(MAX(p_size) FILTER (WHERE p_size > 10) AS VARCHAR) FROM part GROUP BY p_brand, p_type),
+keyed AS (SELECT *, CASE WHEN early THEN ROW_NUMBER() OVER (PARTITION BY dimension, early ORDER BY code) END AS k1, COUNT(*) FILTER (WHERE early) OVER (PARTITION BY dimension) AS n1 FROM one WHERE early OR late)
+SELECT dimension, code, COALESCE(k1, n1 + ROW_NUMBER() OVER (PARTITION BY dimension, k1 IS NULL ORDER BY code)) AS key,
+  CASE WHEN late AND (dimension <> 'part_kind' OR NOT early) THEN relabel ELSE label END AS label FROM keyed""",
+)
+def dimension_upsert(spark, sf):
+    """Two deliveries of three dimensions; the second renames, adds, and leaves out."""
+    root = scratch_dir(spark, "dimensions")
+    customer, supplier, part = (table(spark, sf, n) for n in ("customer", "supplier", "part"))
+    code = lambda letter, key: F.concat(F.lit(letter), F.col(key).cast("string"))
+    kinds = lambda rows, size: rows.groupBy(F.col("p_brand").alias("brand"), F.col("p_type").alias("kind")).agg(size("p_size").cast("string").alias("label"))
+    first = {
+        "customer": customer.filter("c_custkey % 3 <> 0").select(code("C", "c_custkey").alias("customer_code"), F.col("c_mktsegment").alias("label")),
+        "supplier": supplier.select(code("S", "s_suppkey").alias("supplier_code"), F.col("s_name").alias("label")),
+        "part_kind": kinds(part.filter("p_size <= 25"), F.min),
+    }
+    second = {
+        "customer": customer.filter("c_custkey % 2 = 0").select(code("C", "c_custkey").alias("customer_code"), F.lower("c_mktsegment").alias("label")),
+        "supplier": supplier.filter("s_suppkey % 5 = 0").select(code("S", "s_suppkey").alias("supplier_code"), F.upper("s_name").alias("label")),
+        "part_kind": kinds(part.filter("p_size > 10"), F.max),
+    }
+    for delivered in (first, second):
+        run_dimensions(spark, root, delivered, PLACES)
+    named = lambda name, d: read_table(spark, root, name).select(
+        F.lit(name).alias("dimension"), F.concat_ws("/", *d.codes).alias("code"), F.col(d.key).alias("key"), "label"
+    )
+    return reduce(DataFrame.unionByName, [named(name, d) for name, d in PLACES.items()])

@@ -12,7 +12,7 @@ from contractlens.driver.facts import ratio_sql, with_marts
 from contractlens.driver.registry import query, table
 from contractlens.functions.scalar import money, month_of, rate
 from contractlens.plans import actions as actions_plan
-from contractlens.plans import bi, measures
+from contractlens.plans import bi, drill, measures
 from contractlens.plans import effect as effect_plan
 from contractlens.plans import executive as executive_plan
 from contractlens.plans import loss as loss_plan
@@ -194,6 +194,46 @@ def bi_timeline(spark, sf):
     return bi.vw_linha_tempo(events(spark, sf))
 
 
+DRILL_FROM = "1996-07-01"
+
+
+@query(
+    "measure_drill_across",
+    with_marts(
+        "risk",
+        f"""
+SELECT manager_name, reference_month, {{columns}} FROM (
+  SELECT c.manager_name, reference_month, CAST(SUM(net_revenue) AS DOUBLE) AS net_revenue, CAST(SUM(contribution_margin) AS DOUBLE) AS margin, {{ratio}} AS margin_pct
+  FROM risk r JOIN contract c ON c.contract_key = r.contract_key WHERE reference_month >= DATE '{DRILL_FROM}' GROUP BY ALL)
+FULL JOIN (
+  SELECT manager_name, CAST(date_trunc('month', completion_date) AS DATE) AS reference_month, COUNT(*) AS completed_actions, CAST(SUM(CAST(actual_impact_amount AS DECIMAL(18,2))) AS DOUBLE) AS realized_impact
+  FROM action_effect JOIN (SELECT contract_key, manager_name FROM contract) USING (contract_key) WHERE date_trunc('month', completion_date) >= DATE '{DRILL_FROM}' GROUP BY ALL) USING (manager_name, reference_month)
+FULL JOIN (
+  SELECT manager_name, CAST(date_trunc('month', reference_date) AS DATE) AS reference_month, COUNT(*) AS events, CAST(SUM(CAST(impact_amount AS DECIMAL(18,2))) AS DOUBLE) AS event_impact
+  FROM event JOIN (SELECT contract_key, manager_name FROM contract) USING (contract_key) WHERE date_trunc('month', reference_date) >= DATE '{DRILL_FROM}' GROUP BY ALL) USING (manager_name, reference_month)""".replace(
+            "{columns}", "net_revenue, margin, margin_pct, completed_actions, realized_impact, events, event_impact"
+        ).replace("{ratio}", ratio_sql("SUM(contribution_margin)", "SUM(net_revenue)")),
+        facts.MANAGEMENT_CTE,
+        EFFECT_SQL,
+        TIMELINE_SQL,
+    ),
+)
+def measure_drill_across(spark, sf):
+    """Margin, completed actions and event impact by manager and month."""
+    names = {"net_revenue": "Receita Líquida", "margin": "Margem de Contribuição", "margin_pct": "Margem %"}
+    grains = [
+        drill.contract_months(facts.risk(spark, sf).drop("manager_name"), names),
+        drill.effects(action_effects(spark, sf)), drill.events(events(spark, sf)),
+    ]
+    recent = {"reference_month": F.col("reference_month") >= F.lit(DRILL_FROM).cast("date")}
+    return drill.drill_across(grains, facts.contracts(spark, sf), ["manager_name", "reference_month"], recent)
+
+
+@query("event_annotations", with_marts("risk", "SELECT reference_month, contract_code, event_code, event_note, contract_key FROM plan", facts.MANAGEMENT_CTE, TIMELINE_SQL))
+def event_annotations(spark, sf):
+    return timeline_plan.event_annotations(plan_months(spark, sf).drop("contract_key"), facts.contracts(spark, sf))
+
+
 # --- report views ------------------------------------------------------------
 
 LABEL_SQL = f"{case_sql('risk_class', config.RISK_CLASS_LABELS)} AS classe_risco"
