@@ -24,7 +24,7 @@ SCALE = 1024
 BLOCK_ROWS = 4096  # candidates per block, about
 QUERY_ROWS = 1024  # queries per block, at most
 HEAD = 0.8  # share of the squared length that the first rotated coordinates hold, at least
-HITS = "query_id long, vec_id long, score long"
+HITS = "query_row long, query_id long, vec_id long, score long"
 
 
 def whole_vectors(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
@@ -76,21 +76,22 @@ def packer(turn: np.ndarray, dim: int, rows: int | None):
     """Arrow rows -> blocks of at most ``rows`` vectors (None: one a partition)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, xs, held = [], [], 0
+        ids, rowids, xs, held = [], [], [], 0
         for batch in batches:
             ids.append(batch.column("vec_id").to_numpy())
+            rowids.append(batch.column("row").to_numpy())
             xs.append(matrix_of(batch.column("x"), dim))
             held += len(ids[-1])
         if not held:
             return
-        every, whole = np.concatenate(ids), np.concatenate(xs)
+        every, own, whole = np.concatenate(ids), np.concatenate(rowids), np.concatenate(xs)
         for at in range(0, held, rows or held):
-            i, x = every[at : at + (rows or held)], whole[at : at + (rows or held)]
+            i, r, x = (v[at : at + (rows or held)] for v in (every, own, whole))
             rotated = x.astype(np.float64) @ turn
             norms = np.sqrt((rotated**2).sum(1))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([v.tobytes()], pa.binary()) for v in (i, x, rotated.astype(np.float32), norms)],
-                ["ids", "whole", "rotated", "norms"],
+                [pa.array([v.tobytes()], pa.binary()) for v in (i, r, x, rotated.astype(np.float32), norms)],
+                ["ids", "rows", "whole", "rotated", "norms"],
             )
 
     return run
@@ -100,7 +101,7 @@ def scorer(dim: int, head: int, k: int):
     """(candidate block, query block) rows -> per query the block's best k that can still count."""
 
     def pairs(row: dict) -> tuple[np.ndarray, ...]:
-        ids, qids = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["q_ids"], np.int64)
+        ids, own, qids, q_own = (np.frombuffer(row[n], np.int64) for n in ("ids", "rows", "q_ids", "q_rows"))
         x, q = (np.frombuffer(row[n], np.int64).reshape(-1, dim) for n in ("whole", "q_whole"))
         xr, qr = (np.frombuffer(row[n], np.float32).reshape(-1, dim) for n in ("rotated", "q_rotated"))
         xn, qn = np.frombuffer(row["norms"]), np.frombuffer(row["q_norms"])
@@ -117,13 +118,13 @@ def scorer(dim: int, head: int, k: int):
             if head < dim and len(near):
                 bound = xr[near, :head] @ qr[j, :head] + x_rest[near] * q_rest[j] + slack * xn[near] * qn[j] + 1
                 near = near[bound >= least[j]]
-            near = near[ids[near] != qids[j]]
+            near = near[own[near] != q_own[j]]
             score = (exact[near] @ q[j].astype(np.float64)).astype(np.int64) if small(xn, qn) else x[near] @ q[j]
             keep = score >= least[j]
             near, score = near[keep], score[keep]
             best = np.lexsort((ids[near], -score))[:k]
-            found.append((np.full(len(best), qids[j]), ids[near][best], score[best]))
-        return tuple(np.concatenate(c) if found else np.empty(0, np.int64) for c in (zip(*found) if found else ((), (), ())))
+            found.append((np.full(len(best), q_own[j]), np.full(len(best), qids[j]), ids[near][best], score[best]))
+        return tuple(np.concatenate(c) if found else np.empty(0, np.int64) for c in (zip(*found) if found else ((), (), (), ())))
 
     def small(xn: np.ndarray, qn: np.ndarray) -> bool:
         return float(xn.max()) * float(qn.max()) < 2**52
@@ -132,13 +133,13 @@ def scorer(dim: int, head: int, k: int):
         for batch in batches:
             for at in range(batch.num_rows):
                 row = {n: batch.column(n)[at].as_py() for n in batch.schema.names}
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in pairs(row)], ["query_id", "vec_id", "score"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in pairs(row)], ["query_row", "query_id", "vec_id", "score"])
 
     return run
 
 
 def best_of(hits: DataFrame, k: int) -> DataFrame:
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
     return hits.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
@@ -148,14 +149,16 @@ def top_k(
     """(query_id, rank, vec_id, score): every query's k highest scores over all other rows.
 
     Queries are the usable rows for which ``is_query`` (over `vec_id`) holds.
-    Ties go to the smaller id; fewer than k others give fewer rows.  Ids are
-    taken to be unique; a row never meets rows of its own id.  Vectors that are
-    NULL or hold NULL or non-finite components, and rows without id, take no
-    part; shorter vectors count as zero beyond their end.  No rows, no result.
+    Ties go to the smaller id; fewer than k others give fewer rows.  Rows that
+    share an id are queries and candidates of their own: each has its own
+    ranking, and the others of its id stand in it.  Vectors that are NULL or hold
+    NULL or non-finite components, and rows without id, take no part; shorter
+    vectors count as zero beyond their end.  No rows, no result.  Other columns,
+    whatever their names, play no part.
     """
     spark = vectors.sparkSession
     small_batches(spark)
-    whole = materialize(whole_vectors(vectors, vec_id, embedding), "vectors")
+    whole = materialize(whole_vectors(vectors, vec_id, embedding).withColumn("row", F.monotonically_increasing_id()), "vectors")
     n, dim = whole.agg(F.count("*"), F.max(F.size("x"))).first()
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     if not n or not dim:
@@ -163,7 +166,7 @@ def top_k(
     turn, head = rotation(gram(whole, dim))
     length = F.aggregate("x", F.lit(0.0), lambda a, x: a + x.cast("double") * x)
     parts = max(1, n // BLOCK_ROWS)
-    schema = "ids binary, whole binary, rotated binary, norms binary"
+    schema = "ids binary, rows binary, whole binary, rotated binary, norms binary"
     blocks = materialize(
         whole.repartitionByRange(parts, length.desc(), "vec_id")
         .mapInArrow(packer(turn, dim, None), schema)
@@ -172,7 +175,7 @@ def top_k(
     )
     asked = whole.filter(is_query)
     asked = asked.repartition(-(-asked.count() // QUERY_ROWS) or 1)
-    q_names = {c: f"q_{c}" for c in ("ids", "whole", "rotated", "norms")}
+    q_names = {c: f"q_{c}" for c in ("ids", "rows", "whole", "rotated", "norms")}
     packed = asked.mapInArrow(packer(turn, dim, QUERY_ROWS), schema).withColumnsRenamed(q_names)
     queries = materialize(packed.withColumn("q_block", F.monotonically_increasing_id()), "queries")
     numbers = [r[0] for r in blocks.select("block").orderBy("block").limit(1).collect()]
@@ -181,8 +184,8 @@ def top_k(
     # First the longest vectors: they give every query a score that its k-th best reaches at least.
     first = queries.withColumns({"block": F.lit(numbers[0]), "q_least": F.lit(None).cast("binary")})
     seen = materialize(first.join(blocks, "block").mapInArrow(scorer(dim, head, k), HITS), "seen")
-    least = best_of(seen, k).groupBy("query_id").agg(F.count("*").alias("have"), F.min("score").alias("least"))
-    least = least.filter(F.col("have") >= k).select("query_id", "least")
+    least = best_of(seen, k).groupBy("query_row").agg(F.count("*").alias("have"), F.min("score").alias("least"))
+    least = least.filter(F.col("have") >= k).select("query_row", "least")
     floors = materialize(with_floors(queries, least), "floors")
     # One row per query block and candidate block: the stated queries against all rows, in blocks.
     later = blocks.filter(F.col("block") > numbers[0])
@@ -202,9 +205,9 @@ def with_floors(queries: DataFrame, least: DataFrame) -> DataFrame:
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(batch.num_rows):
-                ids = np.frombuffer(batch.column("q_ids")[at].as_py(), np.int64)
-                block = np.full(len(ids), batch.column("q_block")[at].as_py())
-                yield pa.RecordBatch.from_arrays([pa.array(block), pa.array(np.arange(len(ids))), pa.array(ids)], ["q_block", "place", "query_id"])
+                rows = np.frombuffer(batch.column("q_rows")[at].as_py(), np.int64)
+                block = np.full(len(rows), batch.column("q_block")[at].as_py())
+                yield pa.RecordBatch.from_arrays([pa.array(block), pa.array(np.arange(len(rows))), pa.array(rows)], ["q_block", "place", "query_row"])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -212,10 +215,10 @@ def with_floors(queries: DataFrame, least: DataFrame) -> DataFrame:
                 values = np.array([v["least"] for v in batch.column("all")[at].as_py()], np.int64)
                 yield pa.RecordBatch.from_arrays([batch.column("q_block").slice(at, 1), pa.array([values.tobytes()], pa.binary())], ["q_block", "q_least"])
 
-    places = queries.select("q_block", "q_ids").mapInArrow(unpack, "q_block long, place long, query_id long")
+    places = queries.select("q_block", "q_rows").mapInArrow(unpack, "q_block long, place long, query_row long")
     lowest = F.coalesce("least", F.lit(-(1 << 63)))
     lists = (
-        places.join(least, "query_id", "left")
+        places.join(least, "query_row", "left")
         .groupBy("q_block")
         .agg(F.sort_array(F.collect_list(F.struct("place", lowest.alias("least")))).alias("all"))  # QUERY_ROWS at most
         .mapInArrow(pack, "q_block long, q_least binary")

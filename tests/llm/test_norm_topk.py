@@ -39,3 +39,14 @@ def test_few_or_no_rows(spark):
     assert nt.top_k(frame(spark, []), ask).count() == 0
     assert nt.top_k(frame(spark, [(0, [1.0, 2.0])]), ask).count() == 0
     assert [tuple(r) for r in nt.top_k(frame(spark, [(0, [1.0]), (1, [2.0]), (2, [-1.0])]), ask).collect()] == [(0, 1, 1, 2 * 1024**2), (0, 2, 2, -(1024**2))]
+
+
+@pytest.mark.parametrize("block", [2, 4096])
+def test_rows_of_one_id_are_queries_and_candidates_of_their_own(spark, monkeypatch, block):
+    monkeypatch.setattr(nt, "BLOCK_ROWS", block)
+    rows = [(100, [1.0, 0.0]), (100, [0.5, 0.0]), (1, [1.0, 0.0]), (1, [1.0, 0.0]), (7, [0.0, 2.0])]
+    unit = 1024**2
+    got = sorted(tuple(r) for r in nt.top_k(frame(spark, rows), F.col("vec_id") % 100 == 0, 3).collect())
+    first = [(100, 1, 1, unit), (100, 2, 1, unit), (100, 3, 100, unit // 2)]
+    second = [(100, 1, 1, unit // 2), (100, 2, 1, unit // 2), (100, 3, 100, unit // 2)]
+    assert got == sorted(first + second)
