@@ -255,7 +255,8 @@ def near_duplicates(
     entries = kept.select("id", "size", F.explode("bands").alias("bucket"))
     shared = entries.groupBy("bucket").agg(F.count("*").alias("n"), F.min("id").alias("leader")).filter("n > 1")
     buckets = materialize(entries.join(shared.drop("n"), "bucket"), "buckets")
-    wanted = buckets.select("id").distinct()
+    # A table of its own size, so that the join with all texts can see how small it is.
+    wanted = materialize(buckets.select("id").distinct(), "wanted")
     sources = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).join(wanted, "id", "left_semi")
     texts = materialize(sources.dropDuplicates(["id"]), "texts")
 
