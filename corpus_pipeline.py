@@ -32,7 +32,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     classes = materialize(classes, "classes")
     order = F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id").alias("b"), F.col("_row").alias("_row"))
     stay = classes.join(rows.select("_row", "doc_id"), "_row").groupBy("class_id").agg(F.min(order).alias("_first"))
-    gone = classes.join(stay.select("_first._row"), "_row", "left_anti").select("_row")
+    gone = materialize(classes.join(stay.select("_first._row"), "_row", "left_anti").select("_row"), "gone")
     return rows.join(gone, "_row", "left_anti").select(*DOCUMENT_COLUMNS)
 
 
