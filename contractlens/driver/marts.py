@@ -285,7 +285,7 @@ def driver_rank(spark, sf):
 )
 def top_k_group(spark, sf):
     """Three main drivers per contract at the latest month."""
-    latest = facts.latest(facts.risk(spark, sf), spark, sf)
+    latest = facts.latest(spark, sf, facts.risk)
     return risk_plan.risk_drivers(latest).filter("driver_rank <= 3").select(*DRIVER_OUT)
 
 
@@ -421,7 +421,7 @@ FROM action WHERE reference_month = (SELECT MAX(reference_month) FROM action)"""
     ),
 )
 def revenue_at_risk_90d(spark, sf):
-    return executive_plan.revenue_at_risk_90d(facts.latest(facts.recommended(spark, sf), spark, sf))
+    return executive_plan.revenue_at_risk_90d(facts.latest(spark, sf))
 
 
 @query(

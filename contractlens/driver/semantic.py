@@ -371,7 +371,7 @@ def measure_latest(spark, sf):
         "net_revenue": "Receita Líquida", "recoverable": "Valor Recuperável", "margin_pct": "Margem %",
         "revenue_at_risk": "Receita em Risco", "critical_contracts": "Contratos Críticos", "contracts_with_action": "Contratos com Ação",
     }
-    return measures.latest_measure(facts.recommended(spark, sf), names, source=facts.lines(spark, sf))
+    return _latest(spark, sf, names)
 
 
 @query(
@@ -426,7 +426,7 @@ FROM driver d JOIN action a ON a.contract_key = d.contract_key AND a.reference_m
 )
 def measure_contract360(spark, sf):
     """Latest renewal distance and driver points; impacts repeat across drivers, so never their sum."""
-    latest = facts.latest(facts.risk(spark, sf), spark, sf)
+    latest = facts.latest(spark, sf, facts.risk)
     return risk_drivers(latest, keep=["days_to_renewal"]).groupBy("contract_key").agg(
         F.max("days_to_renewal").alias("days_to_renewal"), F.sum("driver_score").alias("driver_points"),
         F.max("estimated_impact_amount").alias("largest_impact"),
@@ -450,7 +450,8 @@ def measure_latest_ops(spark, sf):
 
 
 def _latest(spark, sf, names):
-    return measures.latest_measure(facts.recommended(spark, sf), names, source=facts.lines(spark, sf))
+    months = facts.stored_months(spark, sf)
+    return measures.latest_measure(facts.recommended(spark, sf, months), names, source=months)
 
 
 @query(
@@ -478,7 +479,8 @@ FROM action {LATEST} AND days_to_renewal <= 90""",
     ),
 )
 def measure_renewal_90d(spark, sf):
-    return measures.renewal_within(facts.recommended(spark, sf), source=facts.lines(spark, sf))
+    months = facts.stored_months(spark, sf)
+    return measures.renewal_within(facts.recommended(spark, sf, months), source=months)
 
 
 @query(
