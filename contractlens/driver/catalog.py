@@ -1,4 +1,4 @@
 """Imports every query module so that the registry is complete."""
 
-from contractlens.driver import loads, ingest, marts, relational, semantic  # noqa: F401
+from contractlens.driver import ingest, loads, marts, relational, semantic, versions  # noqa: F401
 from contractlens.driver.registry import ORACLE, QUERIES  # noqa: F401

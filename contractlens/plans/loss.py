@@ -14,7 +14,12 @@ from contractlens.operators.shape import unpivot_structs
 BRIDGE_KEYS = ["reference_month", "date_key", "contract_key", "contract_code"]
 
 
-def loss_bridge(performance: DataFrame, causes=config.LOSS_CAUSES) -> DataFrame:
+def share_of(code: str, rate: str, rates: dict[str, Column] | None) -> Column:
+    """Recovery rate of a cause: that of ``rates`` (columns of the row), else the configured one."""
+    return F.lit(Decimal(rate)) if rates is None else rates[code]
+
+
+def loss_bridge(performance: DataFrame, causes=config.LOSS_CAUSES, rates: dict[str, Column] | None = None) -> DataFrame:
     """One row per cause with a positive amount; one scan of the performance mart.
 
     The amount is tested before it is rounded, so a fraction of a cent is kept.
@@ -22,7 +27,7 @@ def loss_bridge(performance: DataFrame, causes=config.LOSS_CAUSES) -> DataFrame:
     structs = []
     for code, name, rate, nature, is_estimate, note in causes:
         amount = F.col(config.LOSS_AMOUNT_COLUMNS[code])
-        share = F.lit(Decimal(rate))
+        share = share_of(code, rate, rates)
         structs.append(
             F.struct(
                 F.lit(code).alias("loss_code"),
@@ -46,18 +51,18 @@ def loss_of(code: str) -> Column:
     return F.when(amount > 0, money(amount)).otherwise(F.lit(0).cast("decimal(18,2)"))
 
 
-def recoverable_of(code: str, rate: str) -> Column:
+def recoverable_of(code: str, share: Column) -> Column:
     amount = F.col(config.LOSS_AMOUNT_COLUMNS[code])
-    return F.when(amount > 0, money(exposure(amount * F.lit(Decimal(rate))))).otherwise(F.lit(0).cast("decimal(18,2)"))
+    return F.when(amount > 0, money(exposure(amount * share))).otherwise(F.lit(0).cast("decimal(18,2)"))
 
 
-def with_loss_columns(performance: DataFrame, causes=config.LOSS_CAUSES) -> DataFrame:
+def with_loss_columns(performance: DataFrame, causes=config.LOSS_CAUSES, rates: dict[str, Column] | None = None) -> DataFrame:
     """The same bridge kept wide, so later steps need no join back to it.
 
     Amounts are rounded once per cause; the totals add the rounded columns.
     """
     losses = {f"loss_{code}": loss_of(code) for code, *_ in causes}
-    shares = {f"_share_{code}": recoverable_of(code, rate) for code, _, rate, *_ in causes}
+    shares = {f"_share_{code}": recoverable_of(code, share_of(code, rate, rates)) for code, _, rate, *_ in causes}
     estimates = {f"loss_{c}" for c, _, _, _, is_estimate, _ in causes if is_estimate}
 
     def total(columns) -> Column:

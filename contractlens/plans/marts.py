@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from contractlens import config
-from contractlens.plans import actions, base, effect, executive, loss, performance, risk, timeline
+from contractlens.plans import actions, base, effect, executive, loss, parameters, performance, risk, timeline
 from contractlens.session import materialize
 from contractlens.sources.store import publish
 
@@ -49,19 +49,28 @@ def contract_directory(
     return out
 
 
-def build_marts(facts: Facts, params: dict | None = None, exact_ratio: bool = False) -> dict[str, DataFrame]:
+def build_marts(
+    facts: Facts, params: dict | None = None, exact_ratio: bool = False, stored_parameters: DataFrame | None = None
+) -> dict[str, DataFrame]:
     """Marts in dependency order.
 
+    With ``stored_parameters`` every month is scored with the parameters and rates
+    that held in it, and its rows carry them; else ``params`` holds for all months.
+
     The contract-month row is written once after scoring; every other mart is
     a projection, an explosion or a small aggregation of it, so the facts are
     read a single time.
     """
-    params = params or config.parameter_values()
+    params, rates = params or config.parameter_values(), None
     entries = base.ledger(facts.revenue, facts.cost, facts.operation, facts.incidents)
     months = base.monthly_base(entries, facts.contracts, facts.adjustments, exact_ratio)
-    scored = risk.risk_scores(
-        loss.with_loss_columns(performance.monthly_performance(months, facts.adjustments, exact_ratio)), params
-    )
+    if stored_parameters is not None:
+        months = materialize(months, "contract_months")
+    measured = performance.monthly_performance(months, facts.adjustments, exact_ratio)
+    if stored_parameters is not None:
+        measured = parameters.attach(measured, stored_parameters, months)
+        params, rates = parameters.params(), parameters.rates()
+    scored = risk.risk_scores(loss.with_loss_columns(measured, rates=rates), params)
     row = materialize(actions.recommend(scored, params), "contract_month")
 
     queue = actions.monthly_queue(row)
@@ -75,7 +84,7 @@ def build_marts(facts: Facts, params: dict | None = None, exact_ratio: bool = Fa
     current = materialize(actions.current_queue(queue), "current_queue")
     marts = {
         "contract_month": row,
-        "margin_loss_bridge": loss.loss_bridge(row),
+        "margin_loss_bridge": loss.loss_bridge(row, rates=rates),
         "risk_drivers": drivers,
         "action_queue_monthly": queue,
         "action_queue": current,
@@ -99,8 +108,8 @@ def _coded(df: DataFrame, facts: Facts) -> DataFrame:
     return df.join(facts.contracts.select("contract_key", "contract_code"), "contract_key")
 
 
-def refresh(facts: Facts, root: str, version: str) -> dict[str, DataFrame]:
+def refresh(facts: Facts, root: str, version: str, stored_parameters: DataFrame | None = None) -> dict[str, DataFrame]:
     """Rebuild every mart and publish them together."""
-    marts = build_marts(facts)
+    marts = build_marts(facts, stored_parameters=stored_parameters)
     publish(facts.revenue.sparkSession, root, version, marts, {"contract_month": ["reference_month"]})
     return marts
