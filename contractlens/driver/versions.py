@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from contractlens import config
 from contractlens.driver import facts
 from contractlens.driver.facts import with_marts
-from contractlens.driver.registry import query
+from contractlens.driver.registry import query, table
+from contractlens.functions.scalar import month_of
+from contractlens.operators import expectations
 from contractlens.plans import loss as loss_plan
 from contractlens.plans import parameters
 from contractlens.plans import performance as performance_plan
@@ -79,3 +81,67 @@ def dated_parameters(spark, sf):
     return scored.select(
         "contract_key", "reference_month", "score_overtime", "operational_risk_score", "contract_risk_score", "recoverable_amount", "risk_class"
     )
+
+
+# --- expectations ------------------------------------------------------------
+
+@query(
+    "golden_actions",
+    with_marts(
+        "action",
+        """
+SELECT m.contract_key, m.reference_month, expected, code AS actual, CAST(COALESCE(code = expected, false) AS BIGINT) AS passed
+FROM asked m LEFT JOIN action a ON a.contract_key = m.contract_key AND a.reference_month = m.reference_month""",
+        """
+asked AS (
+  SELECT o_custkey AS contract_key, CAST(date_trunc('month', o_orderdate) AS DATE) AS reference_month,
+    CASE MIN(o_orderkey) % 3 WHEN 0 THEN 'REVIEW_SCHEDULE' WHEN 1 THEN 'REINFORCE_COVERAGE' ELSE 'ASSESS_NON_RENEWAL' END AS expected
+  FROM orders WHERE o_orderpriority = '4-NOT SPECIFIED' GROUP BY ALL)""",
+    ),
+)
+def golden_actions(spark, sf):
+    """An expected action per contract and month, held against the recommended one."""
+    kind = F.min("o_orderkey") % 3
+    code = F.when(kind == 0, "REVIEW_SCHEDULE").when(kind == 1, "REINFORCE_COVERAGE").otherwise("ASSESS_NON_RENEWAL")
+    expected = (
+        table(spark, sf, "orders").filter("o_orderpriority = '4-NOT SPECIFIED'")
+        .groupBy(F.col("o_custkey").alias("contract_key"), month_of("o_orderdate").alias("reference_month"))
+        .agg(code.alias("recommended_action_code"))
+    )
+    return expectations.differences(facts.recommended(spark, sf), expected, ["contract_key", "reference_month"], "recommended_action_code")
+
+
+@query(
+    "expected_directions",
+    with_marts(
+        "base",
+        """
+SELECT check_name, s.contract_key, relation, CASE relation WHEN 'rises' THEN COALESCE(a > b, false) WHEN 'falls' THEN COALESCE(a < b, false) ELSE COALESCE(a > 0 AND b > 0, false) END::BIGINT AS passed
+FROM asked s LEFT JOIN means m USING (check_name)""",
+        """
+asked AS (
+  SELECT 'action ' || o_orderkey AS check_name, o_custkey AS contract_key, CAST(date_trunc('month', o_orderdate) AS DATE) AS month,
+    CASE o_orderkey % 3 WHEN 0 THEN 'rises' WHEN 1 THEN 'falls' ELSE 'both_positive' END AS relation
+  FROM orders WHERE o_orderpriority = '4-NOT SPECIFIED'),
+means AS (
+  SELECT check_name, SUM(v) FILTER (side = 0) * COUNT(v) FILTER (side = 1) AS b, SUM(v) FILTER (side = 1) * COUNT(v) FILTER (side = 0) AS a
+  FROM (
+    SELECT check_name, 0 AS side, CAST(net_revenue AS DECIMAL(24,6)) AS v FROM asked s JOIN base b ON b.contract_key = s.contract_key AND b.reference_month >= month - INTERVAL 12 MONTH AND b.reference_month < month
+    UNION ALL SELECT check_name, 1, CAST(CASE WHEN relation = 'both_positive' THEN contribution_margin ELSE net_revenue END AS DECIMAL(24,6)) FROM asked s
+      JOIN base b ON b.contract_key = s.contract_key AND b.reference_month >= month AND b.reference_month < month + INTERVAL 12 MONTH)
+  GROUP BY 1)""",
+    ),
+)
+def expected_directions(spark, sf):
+    """How revenue and margin should move over the twelve months before and from each management action."""
+    month, kind = month_of("o_orderdate"), F.col("o_orderkey") % 3
+    expected = table(spark, sf, "orders").filter("o_orderpriority = '4-NOT SPECIFIED'").select(
+        F.concat(F.lit("action "), F.col("o_orderkey").cast("string")).alias("check_name"), F.col("o_custkey").alias("contract_key"),
+        F.when(kind == 0, "rises").when(kind == 1, "falls").otherwise("both_positive").alias("relation"),
+        F.lit("net_revenue").alias("measure_before"), F.when(kind == 2, "contribution_margin").otherwise("net_revenue").alias("measure_after"),
+        F.add_months(month, -12).alias("before_from"), F.add_months(month, -1).alias("before_to"),
+        month.alias("after_from"), F.add_months(month, 11).alias("after_to"),
+    )
+    measures = {c: F.col(c) for c in ("net_revenue", "contribution_margin")}
+    moved = expectations.directions(facts.base(spark, sf), expected, "contract_key", "reference_month", measures)
+    return moved.select("check_name", "contract_key", "relation", "passed")

@@ -247,6 +247,8 @@ PLAN_RULES = [
     (1, "2024-07-01", "2025-12-01", dict(coverage_rate="0.92", overtime_rate="0.08", vacancy_rate="0.08", overtime_factor="2.2", coverage_factor="3.2", incident_count=2, critical_incident_count=1, recurrent_incident_count=1, sla_miss_count=1, sla_financial_loss="8000", event_code="COVERAGE_DETERIORATION")),
     (1, "2026-01-01", "2026-06-01", dict(coverage_rate="0.97", overtime_rate="0.03", overtime_factor="1.2", event_code="COVERAGE_RECOVERY")),
     (2, "2024-07-01", "2024-12-01", dict(event_code="ADJUSTMENT_DELAY")),
+    (3, "2025-07-01", "2025-11-01", dict(execution_overrun_rate="0.08", event_code="SCOPE_CREEP_HIGH")),
+    (3, "2025-12-01", "2026-06-01", dict(additional_services="25000", execution_overrun_rate="0.02", event_code="SCOPE_FORMALIZED")),
     (4, "2025-01-01", "2025-07-01", dict(incident_count=3, critical_incident_count=2, recurrent_incident_count=2, sla_miss_count=2, sla_financial_loss="22000", other_cost_factor="1.3", event_code="SLA_CRITICAL")),
     (5, "2024-07-01", "2026-06-01", dict(commercial_discount_rate="0.045", labor_factor="1.12", overtime_factor="1.5", other_cost_factor="1.35", coverage_rate="0.9", overtime_rate="0.07", absenteeism_rate="0.04", vacancy_rate="0.08", replacement_days="30", incident_count=1, sla_miss_count=1, sla_financial_loss="1500", event_code="STRUCTURAL_DEFICIT")),
     (6, "2024-11-01", "2024-11-01", dict(one_time_extra_cost="48000", event_code="ONE_OFF_EVENT")),
@@ -256,7 +258,7 @@ PLAN_RULES = [
     (9, "2026-01-01", "2026-06-01", dict(contracted_amount="375000", coverage_rate="0.89", overtime_rate="0.09", vacancy_rate="0.12", replacement_days="40", overtime_factor="2.2", coverage_factor="3", incident_count=2, critical_incident_count=1, recurrent_incident_count=1, sla_miss_count=1, sla_financial_loss="5000", event_code="WORKFORCE_CRITICAL")),
 ]
 RULE_COLUMNS = {
-    "contracted_amount": "decimal(18,2)", "commercial_discount_rate": "decimal(9,4)", "labor_factor": "decimal(9,4)",
+    "contracted_amount": "decimal(18,2)", "additional_services": "decimal(18,2)", "execution_overrun_rate": "decimal(9,4)", "commercial_discount_rate": "decimal(9,4)", "labor_factor": "decimal(9,4)",
     "overtime_factor": "decimal(9,4)", "coverage_factor": "decimal(9,4)", "other_cost_factor": "decimal(9,4)",
     "position_factor": "decimal(9,4)", "coverage_rate": "decimal(9,4)", "overtime_rate": "decimal(9,4)",
     "absenteeism_rate": "decimal(9,4)", "vacancy_rate": "decimal(9,4)", "replacement_days": "decimal(10,2)",

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from contractlens.functions.scalar import money
-from contractlens.operators import checks, overlay
+from contractlens.operators import checks, expectations, overlay
 from contractlens.plans import bi, history, marts
 from tests import company
 from tests.conftest import rows
@@ -95,6 +95,37 @@ def test_last_month(built):
     assert str(built["portfolio"].first().reference_month) == "2026-06-01"
 
 
+def test_expected_movements(spark, built):
+    """Contract, measure before and after, the two periods, relation."""
+    asked = [
+        ("improves after the action", "CT-001", "margin", "margin", "2025-12-01", "2025-12-01", "2026-06-01", "2026-06-01", "rises"),
+        ("recovers the service level", "CT-004", "sla", "sla", "2025-01-01", "2025-06-01", "2026-01-01", "2026-06-01", "rises"),
+        ("formalises the scope", "CT-003", "unbilled", "additional", "2025-07-01", "2025-11-01", "2025-12-01", "2026-06-01", "both_positive"),
+        ("one-off recovers", "CT-006", "margin", "margin", "2024-11-01", "2024-11-01", "2024-12-01", "2024-12-01", "rises"),
+    ]
+    days = ["before_from", "before_to", "after_from", "after_to"]
+    expected = spark.createDataFrame(asked, ["check_name", "contract_code", "measure_before", "measure_after", *days, "relation"])
+    expected = expected.withColumns({d: F.col(d).cast("date") for d in days})
+    measures = {
+        "margin": F.col("contribution_margin_pct"), "sla": F.when(F.col("incident_count") == 0, 1).otherwise(F.col("sla_compliance_rate")),
+        "unbilled": F.col("unbilled_scope_estimate"), "additional": F.col("additional_services"),
+    }
+    moved = expectations.directions(built["contract_month"], expected, "contract_code", "reference_month", measures)
+    assert rows(moved.filter("not passed")) == [] and moved.count() == len(asked)
+    back = expected.withColumns({"relation": F.lit("falls"), "contract_code": F.lit("CT-001")}).filter("measure_before = 'margin'")
+    again = expectations.directions(built["contract_month"], back, "contract_code", "reference_month", measures)
+    assert again.count() == 2 and again.filter("check_name like 'improves%' and passed").count() == 0
+
+
+def test_expected_actions_as_a_table(spark, built):
+    expected = spark.createDataFrame([*company.EXPECTED_LAST_ACTIONS.items(), ("CT-404", "EXPAND")], "contract_code string, recommended_action_code string")
+    found = expectations.differences(built["action_queue"], expected, ["contract_code"], "recommended_action_code")
+    assert rows(found.filter("not passed")) == [("CT-404", "EXPAND", None, False)] and found.count() == len(company.EXPECTED_LAST_ACTIONS) + 1
+    twice = expectations.differences(built["action_queue"].unionByName(built["action_queue"]), expected, ["contract_code"], "recommended_action_code")
+    assert twice.filter("passed").count() == 0
+    assert expectations.differences(built["action_queue"], expected.limit(0), ["contract_code"], "recommended_action_code").count() == 0
+
+
 def test_actions_have_an_effect(built):
     effect = {r.action_code: r for r in built["action_effect"].collect()}
     assert set(effect) == {"REVIEW_RETROACTIVE", "SLA_RECOVERY_PLAN", "REINFORCE_COVERAGE"}
