@@ -120,11 +120,14 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # The SQL says what remains of the operator where no message quotes; quotations are held to a brute-force version in the tests.
 @query("op10_quote_threads", r"""
-select conv_id, turn, role,
+select conv_id, turn, role, case when turn is not null then conv_id end as root_conv,
+  case when conv_id is not null and turn is not null then root end as root_turn, case when conv_id is not null and turn is not null then place - 1 end as depth,
+  case when conv_id is not null and turn is not null then place - 1 end as position,
   case when before is not null then conv_id end as reply_conv, before as reply_turn, false as linked,
   cast(0 as bigint) as n_levels, cast(0 as bigint) as n_quoted, body, '<|' || coalesce(role, '') || '|>' || chr(10) || body as formatted
 from (
-  select *, max(turn) over (partition by conv_id order by turn range between unbounded preceding and 1 preceding) as before,
+  select *, min(turn) over (partition by conv_id) as root, dense_rank() over (partition by conv_id order by turn nulls last) as place,
+    max(turn) over (partition by conv_id order by turn range between unbounded preceding and 1 preceding) as before,
     regexp_replace(regexp_replace(coalesce(text, ''), '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', '') as body
   from conversations)""")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:

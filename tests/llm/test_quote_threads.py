@@ -1,6 +1,9 @@
+import random
+
 import pytest
 
 from contractlens.llm import quote_threads as qt
+from contractlens.llm import reply_threads as rt
 
 SCHEMA = "conv_id long, turn long, role string, text string, body string, level int"
 
@@ -75,3 +78,77 @@ def test_original_elsewhere_when_the_first_owner_is_the_asker(spark):
     ]
     out = replies(spark, rows)
     assert out[(1, 1)][:3] == (3, 4, True) and out[(2, 0)][:3] == (3, 4, True)
+
+
+def test_only_known_quotations_leave_the_body(spark):
+    rows = [
+        (1, 0, "user", "How do joins spill?"),
+        (1, 1, "user", "> not quoted anywhere else at all here\n>>> print(1)\nmine"),
+        (1, 2, "user", "Hello.\nOn Monday X wrote:\n\n> How do joins spill?\n> and a tail\n\nThey sort.\n> a prompt\nOn Monday Y wrote:\nend"),
+        (1, 3, "user", "> How do joins spill?"),
+        (1, 4, "user", "   > kept\n"),
+    ]
+    out = {r.turn: r.body for r in qt.thread(frame(spark, rows)).collect()}
+    assert out == {
+        0: "How do joins spill?", 1: "> not quoted anywhere else at all here\n>>> print(1)\nmine",
+        2: "Hello.\n\n\nThey sort.\n> a prompt\nOn Monday Y wrote:\nend", 3: "", 4: "> kept",
+    }
+
+
+def test_long_quoting_text(spark):
+    """Very long texts: the work on lines grows with them, not with their square."""
+    held = [f"line number {i} of the original text" for i in range(20_000)]
+    mixed = "\n".join(f"> {x}\nanswer {i}\n>> lost {i}" for i, x in enumerate(held))
+    rows = [(1, 0, "user", "\n".join(held)), (1, 1, "user", mixed)]
+    out = {r.turn: r for r in qt.thread(frame(spark, rows)).collect()}
+    assert out[1].linked and out[1].body == "\n".join(f"answer {i}\n>> lost {i}" for i in range(20_000))
+
+
+def test_a_thread_across_conversations(spark):
+    rows = [
+        (1, 0, "user", "The key is hot."), (1, 1, "user", "Indeed."), (2, 0, "user", "Hi."), (2, 1, "user", "> The key is hot.\nSalt it."),
+        (2, 2, "user", "Done."), (3, 0, "user", "> Done.\nThanks."), (3, 0, "user", "> Done.\nThanks."), (None, 1, "user", "x"),
+    ]
+    out = {(r.conv_id, r.turn): (r.root_conv, r.root_turn, r.depth, r.position) for r in qt.thread(frame(spark, rows)).collect()}
+    assert out == {
+        (1, 0): (1, 0, 0, 0), (1, 1): (1, 0, 1, 1), (2, 1): (1, 0, 1, 2), (2, 2): (1, 0, 2, 3), (3, 0): (1, 0, 3, 4),
+        (2, 0): (2, 0, 0, 0), (None, 1): (None, None, None, None),
+    }
+
+
+def plain_threads(nodes):
+    """Pointers followed one by one; the smallest message of a ring is its root."""
+    up = {(c, t): (a, b) if b is not None else None for c, t, a, b, _ in nodes}
+    for start in sorted(up):
+        seen, at = [], start
+        while at is not None and at not in seen:
+            seen.append(at)
+            at = up[at]
+        if at is not None:
+            up[min(seen[seen.index(at):])] = None
+    found = {}
+    for node in up:
+        at, depth = node, 0
+        while up[at] is not None:
+            at, depth = up[at], depth + 1
+        found[node] = (at, depth)
+    place = {}
+    for root in {r for r, _ in found.values()}:
+        members = sorted((d, n) for n, (r, d) in found.items() if r == root)
+        place.update({n: i for i, (_, n) in enumerate(members)})
+    return {n: (*r, d, place[n]) for n, (r, d) in found.items()}
+
+
+@pytest.mark.parametrize("block", [50_000, 5])
+def test_threads_equal_plain_ones(spark, monkeypatch, block):
+    monkeypatch.setattr(rt, "BLOCK", block)
+    rng = random.Random(block)
+    names = [(c, t) for c in range(12) for t in range(rng.randrange(1, 14))]
+    nodes = []
+    for c, t in names:
+        a, b = rng.choice(names)
+        linked = rng.random() < 0.3 and (a, b) != (c, t) and (a != c or b < t)
+        nodes.append((c, t, a, b, True) if linked else (c, t, c if t else None, t - 1 if t else None, False))
+    nodes += [(90, 0, 91, 0, True), (91, 0, 92, 0, True), (92, 0, 90, 0, True), (93, 0, 91, 0, True)]
+    out = rt.assemble(spark.createDataFrame(nodes, "conv_id long, turn long, reply_conv long, reply_turn long, linked boolean"))
+    assert {(r.conv_id, r.turn): (r.root_conv, r.root_turn, r.depth, r.position) for r in out.collect()} == plain_threads(nodes)
