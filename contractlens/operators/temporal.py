@@ -2,7 +2,7 @@
 
 None of them compares every pair of one key.  A hot key would make such a
 pairing quadratic, so each join is reduced to an equality first: the dated
-side is pre-aggregated, or expanded to the months it covers.
+side is pre-aggregated, or expanded to the years or months it covers.
 """
 
 from __future__ import annotations
@@ -78,12 +78,11 @@ def asof_last_by_month(
     return carried.select(*[F.col(c) for c in left.columns], *picked)
 
 
-def version_months(versions: DataFrame, valid_from: str, valid_to: str, last: Column, month: str = "_month") -> DataFrame:
-    """One row per version and month it touches, up to the month ``last``."""
-    start, cap = month_of(valid_from), month_of(last)
-    end = F.least(F.coalesce(month_of(valid_to), cap), cap)
-    months = F.when(start <= end, F.sequence(start, end, F.expr("interval 1 month")))
-    return versions.withColumn(month, F.explode(months))
+def version_years(versions: DataFrame, valid_from: str, valid_to: str, last: Column, year: str = "_year") -> DataFrame:
+    """One row per version and calendar year it touches, up to the year of the day ``last``."""
+    start, cap = F.year(valid_from), F.year(last)
+    end = F.least(F.coalesce(F.year(valid_to), cap), cap)
+    return versions.withColumn(year, F.explode(F.when(start <= end, F.sequence(start, end))))
 
 
 def effective_dated_join(
@@ -97,15 +96,17 @@ def effective_dated_join(
 ) -> DataFrame:
     """Join each fact to the version valid on its date (inner).
 
-    Versions are expanded to the months they touch, so the join is an equality on
-    (key, month) with a date check left over; a hot key is spread over its months.
-    Months end with the one in which the last version starts: a version valid on a
-    later day touches that month too, so later facts look there.  The facts are
-    read once, and a version without an end, or one far away, costs no months that
+    Versions are expanded to the years they touch, so the join is an equality on
+    (key, year) with a date check left over; a hot key is spread over its years.
+    Years, not months: a version that holds for many months would be shuffled once
+    for each of them, and these rows, not the facts, would be most of the job.
+    Years end with the one in which the last version starts: a version valid on a
+    later day touches that year too, so later facts look there.  The facts are
+    read once, and a version without an end, or one far away, costs no years that
     tell nothing new.
     """
     last = versions.agg(F.max(valid_from).alias("last")).scalar()
-    side = version_months(
+    side = version_years(
         versions.select(*keys, valid_from, valid_to, *columns).withColumnsRenamed(
             {valid_from: "_from", valid_to: "_to"}
         ),
@@ -113,10 +114,10 @@ def effective_dated_join(
     )
     day = F.col(fact_date)
     return (
-        facts.withColumn("_month", F.least(month_of(fact_date), month_of(last)))
-        .join(side, [*keys, "_month"])
+        facts.withColumn("_year", F.least(F.year(fact_date), F.year(last)))
+        .join(side, [*keys, "_year"])
         .filter((day >= F.col("_from")) & (F.col("_to").isNull() | (day <= F.col("_to"))))
-        .drop("_month", "_from", "_to")
+        .drop("_year", "_from", "_to")
     )
 
 

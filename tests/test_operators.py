@@ -142,6 +142,19 @@ def test_effective_dated_join_on_random_ranges(spark):
     assert got == sorted(want, key=lambda t: tuple(map(str, t)))
 
 
+def test_a_long_version_is_joined_by_its_years(spark):
+    versions = [("a", 1, D(2015, 6, 15), D(2024, 5, 31)), ("a", 2, D(2024, 6, 1), None), ("a", 3, D(2023, 12, 31), D(2024, 1, 1)), ("b", 4, None, None), (None, 5, D(2020, 1, 1), None)]
+    facts = [("a", D(2015, 6, 14)), ("a", D(2015, 6, 15)), ("a", D(2023, 12, 31)), ("a", D(2024, 1, 1)), ("a", D(2024, 6, 1)), ("a", D(2031, 2, 3)), ("b", D(2024, 1, 1)), (None, D(2024, 1, 1)), ("a", None)]
+    v = spark.createDataFrame(versions, "k string, v int, valid_from date, valid_to date")
+    f = spark.createDataFrame(facts, "k string, day date")
+    joined = temporal.effective_dated_join(f, v, ["k"], "day", columns=["v"])
+    assert rows(joined, "day", "v") == [
+        (D(2015, 6, 15), 1), (D(2023, 12, 31), 1), (D(2023, 12, 31), 3), (D(2024, 1, 1), 1), (D(2024, 1, 1), 3), (D(2024, 6, 1), 2), (D(2031, 2, 3), 2),
+    ]
+    side = temporal.version_years(v, "valid_from", "valid_to", F.lit(D(2024, 6, 1)))
+    assert rows(side.groupBy("v").count()) == [(1, 10), (2, 1), (3, 2), (5, 5)]  # by months the first alone would be 108
+
+
 def test_latest_period(spark):
     df = spark.createDataFrame(MONTHS, "k string, month date")
     assert rows(temporal.latest_period(df, "month")) == [("a", D(2024, 6, 1))]
