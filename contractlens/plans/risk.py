@@ -108,6 +108,9 @@ def margin_trend() -> Column:
     )
 
 
+HISTORY = ["months_in_history", "margin_change_3m"]
+
+
 def with_history(months: DataFrame) -> DataFrame:
     """Months seen so far and margin change over two rows (rows, not calendar)."""
     by_month = Window.partitionBy("contract_key").orderBy("reference_month")
@@ -120,12 +123,30 @@ def with_history(months: DataFrame) -> DataFrame:
     )
 
 
+def latest_with_history(months: DataFrame) -> DataFrame:
+    """Rows of the latest month with their history.
+
+    Earlier months go through the window as key and margin alone: their other
+    columns would be shuffled and sorted only to be dropped.
+    """
+    slim = ["contract_key", "reference_month", "contribution_margin_pct"]
+    newest = F.col("reference_month") == months.agg(F.max("reference_month")).scalar()
+    now = months.filter(newest).select(*slim, F.struct(*[c for c in months.columns if c not in slim]).alias("_row"))
+    earlier = months.filter(~F.coalesce(newest, F.lit(False))).select(*slim, F.lit(None).cast(now.schema["_row"].dataType).alias("_row"))
+    kept = with_history(now.unionByName(earlier)).filter("_row is not null")
+    return kept.select(*slim, "_row.*", *HISTORY)
+
+
 def risk_scores(performance: DataFrame, params: dict | None = None) -> DataFrame:
-    """Risk mart: performance rows with sub-scores, pillars, score, class, trend."""
+    """Risk mart: performance rows with sub-scores, pillars, score, class, trend.
+
+    Rows that bring their history (`latest_with_history`) keep it.
+    """
     params = params or config.parameter_values()
     literals = {k: F.lit(v) for k, v in params.items()}
+    known = set(HISTORY) <= set(performance.columns)
     return (
-        with_history(performance)
+        (performance if known else with_history(performance))
         .withColumns(sub_scores(params))
         .withColumns(pillar_scores())
         .withColumn("contract_risk_score", composite_score(literals))

@@ -155,6 +155,16 @@ def test_a_long_version_is_joined_by_its_years(spark):
     assert rows(side.groupBy("v").count()) == [(1, 10), (2, 1), (3, 2), (5, 5)]  # by months the first alone would be 108
 
 
+def test_latest_month_with_history_needs_no_other_columns_of_earlier_months(spark):
+    data = [("a", D(2024, 1, 1), "0.10", "x"), ("a", D(2024, 2, 1), "0.20", "x"), ("a", D(2024, 4, 1), "0.35", "now"), ("b", D(2024, 4, 1), None, None), ("c", D(2024, 2, 1), "0.50", "x"), ("b", None, "0.1", "x")]
+    months = spark.createDataFrame([(k, m, p and Decimal(p), t) for k, m, p, t in data], "contract_key string, reference_month date, contribution_margin_pct decimal(18,4), text string")
+    got = risk.latest_with_history(months)
+    want = risk.with_history(months).filter(F.col("reference_month") == D(2024, 4, 1))
+    assert rows(got, "contract_key", "text", *risk.HISTORY) == rows(want, "contract_key", "text", *risk.HISTORY) == [("a", "now", 3, Decimal("0.2500")), ("b", None, 2, None)]
+    assert got.schema[:3] == months.schema[:3] and sorted(got.columns) == sorted(want.columns)
+    assert risk.latest_with_history(months.filter("contract_key = 'z'")).count() == 0
+
+
 def test_latest_period(spark):
     df = spark.createDataFrame(MONTHS, "k string, month date")
     assert rows(temporal.latest_period(df, "month")) == [("a", D(2024, 6, 1))]
