@@ -451,7 +451,7 @@ def measure_latest_ops(spark, sf):
 
 def _latest(spark, sf, names):
     months = facts.stored_months(spark, sf)
-    return measures.latest_measure(facts.recommended(spark, sf, months), names, source=months)
+    return measures.latest_measure(facts.latest(spark, sf, months=months), names, source=months)
 
 
 @query(
@@ -480,7 +480,7 @@ FROM action {LATEST} AND days_to_renewal <= 90""",
 )
 def measure_renewal_90d(spark, sf):
     months = facts.stored_months(spark, sf)
-    return measures.renewal_within(facts.recommended(spark, sf, months), source=months)
+    return measures.renewal_within(facts.latest(spark, sf, months=months), source=months)
 
 
 @query(
