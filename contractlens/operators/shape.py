@@ -16,8 +16,12 @@ def unpivot_structs(df: DataFrame, structs: Sequence[Column], keep: Sequence[str
 
 
 def pivot_max(df: DataFrame, by: Sequence[str], code: str, value: str, codes: Sequence[str], fill=None) -> DataFrame:
-    """Key/value rows -> one column per code (declared codes: no extra pass)."""
-    wide = df.groupBy(*by).pivot(code, list(codes)).agg(F.max(value))
+    """Key/value rows -> one column per code (declared codes: no extra pass).
+
+    One aggregate by key; `pivot` would first aggregate by key and code, and a task
+    would hold the groups of both aggregates.
+    """
+    wide = df.groupBy(*by).agg(*[F.max(F.when(F.col(code) == c, F.col(value))).alias(c) for c in codes])
     return wide if fill is None else wide.fillna(fill, subset=list(codes))
 
 

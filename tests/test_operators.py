@@ -165,6 +165,15 @@ def test_latest_month_with_history_needs_no_other_columns_of_earlier_months(spar
     assert risk.latest_with_history(months.filter("contract_key = 'z'")).count() == 0
 
 
+def test_pivot_is_one_aggregate_by_key(spark, capsys):
+    data = [("a", "x", 1), ("a", "x", 3), ("a", "y", None), ("b", "other", 5), ("c", None, 7), (None, "y", 2)]
+    wide = shape.pivot_max(spark.createDataFrame(data, "k string, code string, n int"), ["k"], "code", "n", ["x", "y"], fill=0)
+    assert wide.columns == ["k", "x", "y"]
+    assert rows(wide) == [(None, 0, 2), ("a", 3, 0), ("b", 0, 0), ("c", 0, 0)]
+    wide.explain()
+    assert "pivotfirst" not in capsys.readouterr().out.lower()
+
+
 def test_latest_period(spark):
     df = spark.createDataFrame(MONTHS, "k string, month date")
     assert rows(temporal.latest_period(df, "month")) == [("a", D(2024, 6, 1))]
