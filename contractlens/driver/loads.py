@@ -12,7 +12,7 @@ from contractlens.driver.relational import VERSION_SQL, order_versions
 from contractlens.functions.scalar import money, month_of
 from contractlens.plans import monthly_load
 from contractlens.plans.dimensions import Dimension, run_dimensions
-from contractlens.session import cut_points, scratch_dir, setting
+from contractlens.session import cut_points, materialize, scratch_dir, setting
 from contractlens.sources.calendar import calendar
 from contractlens.sources.delimited import read_delimited
 from contractlens.sources.store import read_table
@@ -78,10 +78,11 @@ def dimensions(spark, sf):
 
 
 def deliver(spark, name: str, deliveries, dims):
-    """Load the deliveries one after the other and read back what is stored."""
+    """Load the deliveries one after the other and read back what is stored; the contract versions are built once."""
     root = scratch_dir(spark, "load")
     target = monthly_load.FACTS[name]
     with cut_points(spark):
+        dims = dims | {"contracts": materialize(dims["contracts"], "contracts")}
         for staged in deliveries:
             monthly_load.load_facts(spark, root, target, staged, dims)
     return monthly_load.fact(spark, root, target.name)

@@ -207,3 +207,15 @@ def test_contracts_are_counted_once(spark):
     names = {"a": "Contratos com Ação", "o": "Reajustes Abertos", "c": "Contratos com Reajuste Aberto"}
     assert rows(measures.measure(months, names, ["manager_name"]), "manager_name", "a", "o", "c") == [(None, 0, 4, 1), ("m", 2, 3, 2)]
     assert rows(measures.measure(months, names), "a", "o", "c") == [(2, 3, 3)]
+
+
+def test_contract_versions_are_built_once_for_all_deliveries(spark, monkeypatch):
+    from contractlens.driver import loads
+
+    seen = []
+    monkeypatch.setattr(loads.monthly_load, "load_facts", lambda spark, root, target, staged, dims: seen.append(dims))
+    monkeypatch.setattr(loads.monthly_load, "fact", lambda *_: None)
+    versions = spark.range(3).withColumn("built_by", F.uuid())  # another text on every evaluation
+    loads.deliver(spark, "monthly_measurements", ["first", "second"], {"contracts": versions, "calendar": "kept"})
+    assert [d["calendar"] for d in seen] == ["kept", "kept"] and seen[0]["contracts"] is seen[1]["contracts"]
+    assert all("uuid" not in d["contracts"]._jdf.queryExecution().toString() for d in seen)
