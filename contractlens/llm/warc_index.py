@@ -36,16 +36,11 @@ INDEX = (
 KEY = (0, 1, 2)  # url_key, captured, page_id order a history
 
 
-def base32_sha1(payload: Column) -> Column:
-    """Bare upper-case base32 SHA-1: four characters for every five hex digits."""
-    digits = F.sha1(payload)
-
-    def four(at: Column) -> Column:
-        bits = F.conv(F.substring(digits, at * 5 + 1, F.lit(5)), 16, 10).cast("int")
-        pick = lambda shift: F.substring(F.lit(BASE32), F.shiftright(bits, shift).bitwiseAND(F.lit(31)) + 1, F.lit(1))
-        return F.concat(*[pick(s) for s in (15, 10, 5, 0)])
-
-    return F.concat(*[four(F.lit(i)) for i in range(8)])
+def base32_sha1(digits: Column) -> Column:
+    """Bare upper-case base32 of a SHA-1 in hex: every fifteen hex digits are twelve digits to the base 32."""
+    parts = [(1, 15, 12), (16, 15, 12), (31, 10, 8)]  # fifteen hex digits fit a long
+    base32 = [F.lpad(F.conv(F.substring(digits, at, n), 16, 32), to, "0") for at, n, to in parts]
+    return F.translate(F.concat(*base32), "0123456789ABCDEFGHIJKLMNOPQRSTUV", BASE32)
 
 
 def with_revisits(pages: DataFrame) -> DataFrame:
@@ -56,15 +51,17 @@ def with_revisits(pages: DataFrame) -> DataFrame:
     skew join.
     """
     known = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("payload")).withColumns(
-        {"payload_bytes": F.octet_length("payload").cast("long"), "payload_digest": base32_sha1(F.col("payload").cast("binary"))}
+        {"payload_bytes": F.octet_length("payload").cast("long"), "_digits": F.sha1(F.col("payload").cast("binary"))}
     )
-    first = known.groupBy("payload_digest", "payload_bytes").agg(F.min("page_id").alias("first_id"))
+    # joined by the hex digits, which are never NULL: a key that could be is tested for it by a filter that hashes the payload anew
+    first = known.groupBy("_digits", "payload_bytes").agg(F.min("page_id").alias("first_id"))
     again = F.col("page_id") != F.col("first_id")
     return (
-        known.join(first, ["payload_digest", "payload_bytes"])
+        known.join(first, ["_digits", "payload_bytes"])
+        .withColumn("payload_digest", base32_sha1(F.col("_digits")))
         .withColumn("record_type", F.when(again, F.lit("revisit")).otherwise(F.lit("response")))
         .withColumn("refers_to", F.when(again, F.col("first_id")))
-        .drop("first_id")
+        .drop("first_id", "_digits")
     )
 
 
@@ -76,8 +73,8 @@ def record(captured: Column) -> Column:
     http = F.concat(
         F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.col("payload_bytes").cast("string"), F.lit(END)
     )
-    block = F.concat(http, F.when(F.col("record_type") == "response", F.col("payload")).otherwise(F.lit("")))
     revisit = F.col("record_type") == "revisit"
+    size = F.octet_length(http) + F.when(revisit, F.lit(0)).otherwise(F.col("payload_bytes"))
     return F.concat(
         F.lit("WARC/1.1\r\n"),
         line("WARC-Type", F.col("record_type")),
@@ -88,9 +85,10 @@ def record(captured: Column) -> Column:
         line("WARC-Refers-To", urn(F.col("refers_to"))),
         line("WARC-Profile", F.when(revisit, F.lit(PROFILE))),
         line("Content-Type", F.lit("application/http; msgtype=response")),
-        line("Content-Length", F.octet_length(block).cast("string")),
+        line("Content-Length", size.cast("string")),
         F.lit("\r\n"),
-        block,
+        http,
+        F.when(revisit, F.lit("")).otherwise(F.col("payload")),
     )
 
 

@@ -37,3 +37,14 @@ def test_round_trip(spark):
         assert (r.record_type, r.refers_to) == (("response", None) if first == i else ("revisit", first))
     empty = spark.createDataFrame([], "page_id long, url string, html string")
     assert wi.archive(empty).count() == 0
+
+
+def test_payloads_are_hashed_once(spark):
+    """Once for the pages and once for the first page of each payload; filters that test the key do not hash it again."""
+    data = spark.createDataFrame([(1, "u", "x"), (2, "u", "x"), (3, "u", None)], "page_id long, url string, html string")
+    found = wi.with_revisits(data)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("sha1(") == 2
+    assert {r.page_id: (r.payload_digest, r.refers_to) for r in found.collect()} == {
+        i: (base64.b32encode(hashlib.sha1(body).digest()).decode(), first) for i, body, first in [(1, b"x", None), (2, b"x", 1), (3, b"", None)]
+    }
