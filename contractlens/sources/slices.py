@@ -120,13 +120,14 @@ def replace_slices(
     now = state(spark, root)
     if numbered:
         slices = materialize(delivered.select(*keys).distinct(), "slices")
-        cleared = known_months(spark, root, now, slices, keys[0]).select(MONTH)
+        cleared = known_months(spark, root, now, slices, keys[0])
     else:
-        slices = materialize(delivered.select(*keys, MONTH).distinct(), "slices")
-        cleared = slices.select(MONTH)
-    months = {r[0] for r in cleared.unionByName(new.select(MONTH)).distinct().collect()}  # calendar months
+        slices = delivered.select(*keys).distinct()  # evaluated only against months that are stored
+        cleared = delivered
+    months = {r[0] for r in cleared.select(MONTH).unionByName(new.select(MONTH)).distinct().collect()}  # calendar months
     held = read(spark, root, months, now) if now.schema else None
-    state_rows = new if held is None else held.join(slices.select(*keys), list(keys), "left_anti").unionByName(new, allowMissingColumns=True)
+    kept_rows = held if months.isdisjoint(now.months) else held.join(slices, list(keys), "left_anti")
+    state_rows = new if held is None else kept_rows.unionByName(new, allowMissingColumns=True)
     names = [*(c for c in (held or new).columns if c != MONTH), *(c for c in new.columns if held is not None and c not in held.columns), MONTH]
     write = uuid.uuid4().hex
     written = _write(state_rows.select(*names), f"{root}/data/{write}")

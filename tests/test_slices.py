@@ -7,6 +7,8 @@ import shutil
 
 import pytest
 
+from contractlens.driver import loads
+from contractlens.session import materialize
 from contractlens.sources import slices
 from tests.conftest import rows
 
@@ -44,6 +46,28 @@ def test_only_delivered_months_are_read(spark, tmp_path):
     assert rows(slices.read(spark, root, [202401, 202404, 209912])) == [("a", 10, 202401), ("b", 2, 202401), ("c", 11, 202404)]
 
 
+def test_delivered_slices_are_not_written(spark, tmp_path, monkeypatch):
+    """They are nearly as many as the delivered rows, and read once: against the stored months, if there are any."""
+    written = []
+    monkeypatch.setattr(slices, "materialize", lambda df, name: written.append(name) or materialize(df, name))
+    root = str(tmp_path)
+    load(spark, root, [("a", 1, 202401), ("b", 2, 202402)], [("a", 0, 202401), ("a", 0, 202401), ("z", 0, None), (None, 0, 202401)])
+    assert load(spark, root, [("a", 3, 202401)], [("a", 0, 202401), ("a", 0, 202401), (None, 0, 202401)]) == 1
+    assert load(spark, root, [("a", 4, 202403)]) == 1
+    assert rows(slices.read(spark, root)) == [("a", 3, 202401), ("a", 4, 202403), ("b", 2, 202402)]
+    assert written == ["new_facts"] * 3
+
+
+def test_joined_rows_are_stored_before_they_are_split(spark, monkeypatch):
+    """Every delivery is read several times; the join behind it runs once."""
+    left = spark.createDataFrame([(1, "P"), (2, "F"), (2, "F"), (None, "P"), (3, None)], "k int, o_orderstatus string")
+    right = spark.createDataFrame([(1, "x"), (2, "y"), (3, "z")], "k int, v string")
+    monkeypatch.setattr(loads, "deliver", lambda _spark, _name, deliveries, _dims: [(rows(d), d.inputFiles()) for d in deliveries])
+    first, second = loads.deliver_joined(spark, "workforce_control", left.join(right, "k"), loads.by_status, {})
+    assert (first[0], second[0]) == ([(2, "y"), (2, "y")], [(1, "x")])
+    assert first[1] == second[1] and all("/contractlens/staged-" in f for f in first[1])
+
+
 def test_cleared_months_leave_and_columns_join(spark, tmp_path):
     root = str(tmp_path)
     load(spark, root, [("a", 1, 202401), ("a", 3, 202402)])
