@@ -83,24 +83,21 @@ def latest_month(spark: SparkSession, root: str, name: str) -> int | None:
     return slices.state(spark, f"{root}/dw/{name}").latest_month
 
 
-def keyed_adjustments(spark: SparkSession, root: str, rows: DataFrame) -> tuple[DataFrame, int]:
+def keyed_adjustments(spark: SparkSession, root: str, rows: DataFrame, now: slices.State, months: set[int]) -> tuple[DataFrame, int]:
     """Gives every process its `adjustment_key`: a stored one keeps it, new ones are numbered on by number.
 
-    Keys are looked up in the months that hold a delivered number; the last key
-    given is in the manifest, so a key is never used twice.
+    Keys are looked up in ``months``, those that hold a delivered number; the last
+    key given is in the manifest, so a key is never used twice.
     """
-    path = f"{root}/dw/adjustments"
-    now = slices.state(spark, path)
-    numbers = materialize(rows.select("adjustment_number").distinct(), "numbers")
-    months = {r[0] for r in slices.known_months(spark, path, now, numbers, "adjustment_number").select(MONTH).distinct().collect()}
     if months:
-        known = slices.read(spark, path, months, now).select("adjustment_number", "adjustment_key")
+        known = slices.read(spark, f"{root}/dw/adjustments", months, now).select("adjustment_number", "adjustment_key")
         rows = rows.join(known, "adjustment_number", "left")
     else:
         rows = rows.withColumn("adjustment_key", F.lit(None).cast("long"))
     rows = materialize(rows, "adjustments")
-    new = materialize(dense_number(rows.filter("adjustment_key is null"), "_n", [F.asc("adjustment_number")]), "numbered")
-    added = new.withColumn("adjustment_key", (F.col("_n") + now.last_key).cast("long")).drop("_n")
+    new = rows.filter("adjustment_key is null")
+    added = dense_number(new, "_n", [F.asc("adjustment_number")])  # written in order
+    added = added.withColumn("adjustment_key", (F.col("_n") + now.last_key).cast("long")).drop("_n")
     return rows.filter("adjustment_key is not null").unionByName(added), now.last_key + new.count()
 
 
@@ -160,12 +157,13 @@ def month_number(day: str):
 
 
 def load_facts(spark: SparkSession, root: str, table: FactTable, staged: DataFrame, dims: dict[str, DataFrame]) -> None:
-    rows, last_key = table.load(staged, dims), None
-    if table.name == "adjustments":
-        rows, last_key = keyed_adjustments(spark, root, rows)
+    path = f"{root}/dw/{table.name}"
+    rows, known = table.load(staged, dims), {}
     numbered = len(table.keys) == 1
     delivered = staged if numbered else staged.withColumn(MONTH, month_number(table.day))
-    slices.replace_slices(
-        spark, f"{root}/dw/{table.name}", rows.withColumn(MONTH, month_number(table.day)), delivered, table.keys,
-        numbered=numbered, last_key=last_key,
-    )
+    if table.name == "adjustments":
+        now = slices.state(spark, path)
+        months = slices.months_of(slices.known_months(spark, path, now, delivered, table.keys[0]))
+        rows, last_key = keyed_adjustments(spark, root, rows, now, months)
+        known = {"of": now, "cleared": months, "last_key": last_key, "stored": True}
+    slices.replace_slices(spark, path, rows.withColumn(MONTH, month_number(table.day)), delivered, table.keys, numbered=numbered, **known)

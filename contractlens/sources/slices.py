@@ -90,12 +90,17 @@ def read(spark: SparkSession, root: str, months: Iterable[int] | None = None, of
 def known_months(spark: SparkSession, root: str, now: State, numbers: DataFrame, key: str) -> DataFrame:
     """(key, fact_month) of the numbers that are stored, from the index alone."""
     if not now.index:
-        return spark.createDataFrame([], T.StructType([numbers.schema[key], T.StructField(MONTH, T.IntegerType())]))
+        return numbers.select(key, F.lit(None).cast("int").alias(MONTH)).limit(0)
     entries = spark.read.parquet(*[f"{root}/index/{name}" for name in now.index])
     newest = entries.join(numbers.select(key), key, "left_semi").groupBy(key).agg(F.max_by(MONTH, "version").alias(MONTH))
     return newest.filter(F.col(MONTH).isNotNull())
 
 
+def months_of(rows: DataFrame) -> set[int]:
+    """Calendar months of the rows."""
+    return {r[0] for r in rows.select(MONTH).distinct().collect()}
+
+
 def replace_slices(
     spark: SparkSession,
     root: str,
@@ -105,6 +110,9 @@ def replace_slices(
     *,
     numbered: bool = False,
     last_key: int | None = None,
+    of: State | None = None,
+    cleared: set[int] | None = None,
+    stored: bool = False,
 ) -> int:
     """Replace the delivered slices of the facts at ``root``; returns the number of months written.
 
@@ -114,17 +122,15 @@ def replace_slices(
     single key is a number whose month the index knows.  Only months that hold a
     cleared or a new row are read and written; a month that becomes empty leaves
     the manifest.  Rows of a month are written by as many tasks as its size asks
-    for.
+    for.  A caller that has looked up the state and the ``cleared`` months gives them;
+    ``stored`` rows come from files with little work and are not written first.
     """
-    new = materialize(rows, "new_facts")
-    now = state(spark, root)
-    if numbered:
-        slices = materialize(delivered.select(*keys).distinct(), "slices")
-        cleared = known_months(spark, root, now, slices, keys[0])
-    else:
-        slices = delivered.select(*keys).distinct()  # evaluated only against months that are stored
-        cleared = delivered
-    months = {r[0] for r in cleared.select(MONTH).unionByName(new.select(MONTH)).distinct().collect()}  # calendar months
+    new = rows if stored else materialize(rows, "new_facts")
+    now = of or state(spark, root)
+    slices = delivered.select(*keys).distinct()  # written nowhere: each use shuffles them by the key it needs anyway
+    if cleared is None:
+        cleared = months_of(known_months(spark, root, now, delivered, keys[0]) if numbered else delivered)
+    months = cleared | months_of(new)
     held = read(spark, root, months, now) if now.schema else None
     kept_rows = held if months.isdisjoint(now.months) else held.join(slices, list(keys), "left_anti")
     state_rows = new if held is None else kept_rows.unionByName(new, allowMissingColumns=True)

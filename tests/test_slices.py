@@ -8,8 +8,10 @@ import shutil
 import pytest
 
 from contractlens.driver import loads
+from contractlens.plans import monthly_load
 from contractlens.session import materialize
 from contractlens.sources import slices
+from contractlens.sources.calendar import calendar
 from tests.conftest import rows
 
 FACT = "contract string, amount long, fact_month int"
@@ -68,6 +70,33 @@ def test_joined_rows_are_stored_before_they_are_split(spark, monkeypatch):
     assert first[1] == second[1] and all("/contractlens/staged-" in f for f in first[1])
 
 
+def test_processes_are_dated_and_looked_up_once(spark, tmp_path, monkeypatch):
+    written, looked_up, known_months = [], [], slices.known_months
+    record = lambda df, name: written.append(name) or materialize(df, name)
+    monkeypatch.setattr(slices, "materialize", record)
+    monkeypatch.setattr(monthly_load, "materialize", record)
+    monkeypatch.setattr(slices, "known_months", lambda *a: looked_up.append(1) or known_months(*a))
+    root, dims = str(tmp_path), {
+        "contracts": spark.createDataFrame([("c", 7, "x")], "contract_code string, contract_key long, client_code string")
+        .selectExpr("*", "date '2024-01-01' AS valid_from", "cast(null as date) AS valid_to"),
+        "calendar": calendar(spark, "2024-01-01", "2024-12-31"),
+    }
+
+    def deliver(*data):
+        staged = spark.createDataFrame(data, "adjustment_number string, contract_code string, day string").selectExpr(
+            "adjustment_number", "contract_code", "cast(day as date) AS expected_date", "cast(null as date) AS requested_date", "cast(null as date) AS approved_date"
+        )
+        monthly_load.load_facts(spark, root, monthly_load.FACTS["contract_adjustments"], staged, dims)
+        stored = monthly_load.fact(spark, root, "adjustments")
+        return rows(stored.selectExpr("adjustment_number", "cast(expected_date as string)", "adjustment_key"))
+
+    assert deliver(("b", "c", "2024-03-01"), ("a", "c", "2024-02-01"), ("d", "c", "2025-01-01")) == [("a", "2024-02-01", 1), ("b", "2024-03-01", 2)]
+    assert deliver(("b", "c", "2024-05-01"), ("d", "c", "2024-02-03"), ("a", "unknown", "2024-02-01")) == [("b", "2024-05-01", 2), ("d", "2024-02-03", 3)]
+    assert deliver(("a", "c", "2024-06-01")) == [("a", "2024-06-01", 4), ("b", "2024-05-01", 2), ("d", "2024-02-03", 3)]
+    assert slices.state(spark, f"{root}/dw/adjustments").last_key == 4
+    assert written == ["adjustments"] * 3 and len(looked_up) == 3
+
+
 def test_cleared_months_leave_and_columns_join(spark, tmp_path):
     root = str(tmp_path)
     load(spark, root, [("a", 1, 202401), ("a", 3, 202402)])
