@@ -450,8 +450,8 @@ def measure_latest_ops(spark, sf):
 
 
 def _latest(spark, sf, names):
-    months = facts.stored_months(spark, sf)
-    return measures.latest_measure(facts.latest(spark, sf, months=months), names, source=months)
+    stored = facts.stored_sums(spark, sf)
+    return measures.latest_measure(facts.latest(spark, sf, stored=stored), names, source=stored[1])
 
 
 @query(
@@ -479,8 +479,8 @@ FROM action {LATEST} AND days_to_renewal <= 90""",
     ),
 )
 def measure_renewal_90d(spark, sf):
-    months = facts.stored_months(spark, sf)
-    return measures.renewal_within(facts.latest(spark, sf, months=months), source=months)
+    stored = facts.stored_sums(spark, sf)
+    return measures.renewal_within(facts.latest(spark, sf, stored=stored), source=stored[1])
 
 
 @query(

@@ -7,6 +7,7 @@ month exists only where revenue exists.
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -117,20 +118,27 @@ def ledger(revenue: DataFrame, cost: DataFrame, operation: DataFrame, incidents:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), entries)
 
 
-def roll_up(entries: DataFrame) -> DataFrame:
-    """Ledger -> one row per contract and month (all facts, one aggregation)."""
+def sum_up(entries: DataFrame) -> DataFrame:
+    """Ledger -> one row per contract and month (all facts, one aggregation); amounts still in hundredths."""
     present = set(entries.columns)
     sums = ["revenue_rows", *REVENUE_MEASURES, *COST_MEASURES, *OPERATION_MEASURES, *INCIDENT_MEASURES]
-    sums = [c for c in sums if c in present]
-    averages = {src: dst for src, dst in AVERAGES.items() if src in present}
-    months = entries.groupBy(*KEYS).agg(
-        *[F.sum(c).alias(c) for c in sums],
+    averages = [src for src in AVERAGES if src in present]
+    return entries.groupBy(*KEYS).agg(
+        *[F.sum(c).alias(c) for c in sums if c in present],
         *[agg(src).alias(f"{name}_{src}") for src in averages for name, agg in (("sum", F.sum), ("n", F.count))],
     )
+
+
+def amounts(summed: DataFrame) -> DataFrame:
+    """Amounts of `sum_up` as decimals, and the averages."""
+    averages = {src: dst for src, dst in AVERAGES.items() if f"sum_{src}" in summed.columns}
+    parts = {f"{name}_{src}" for src in averages for name in ("sum", "n")}
+    sums = [c for c in summed.columns if c not in KEYS and c not in parts]
     whole = lambda c: F.col(c).cast("decimal(20,0)")
-    return months.select(
+    return summed.select(
         *KEYS,
-        *[(F.col(c) if c in COUNTS else (whole(c) / 100).cast("decimal(18,2)")).alias(c) for c in sums],
+        # a product, as decimals multiply much faster than they divide
+        *[(F.col(c) if c in COUNTS else (whole(c) * F.lit(Decimal("0.01"))).cast("decimal(18,2)")).alias(c) for c in sums],
         *[
             (whole(f"sum_{src}") / (F.nullif(F.col(f"n_{src}"), F.lit(0)) * 100)).cast("decimal(14,6)").alias(dst)
             for src, dst in averages.items()
@@ -138,6 +146,11 @@ def roll_up(entries: DataFrame) -> DataFrame:
     )
 
 
+def roll_up(entries: DataFrame) -> DataFrame:
+    """Ledger -> one row per contract and month, amounts as decimals."""
+    return amounts(sum_up(entries))
+
+
 def adjustment_summary(adjustments: DataFrame) -> DataFrame:
     """Adjustment position per contract over all time (not bounded by month)."""
     is_open = F.col("process_status").isin(*config.OPEN_PROCESS_STATUSES)
@@ -175,8 +188,22 @@ def monthly_base(
     attached first: its window brings the rows together by contract once, and
     the joins and windows that follow keep that partitioning.
     """
+    return complete(roll_up(entries).filter("revenue_rows > 0"), contracts, adjustments, exact_ratio)
+
+
+def margin_amount() -> Column:
+    """Contribution margin; amounts stay decimal(18,2): wider decimals are copied as byte arrays, row by row."""
+    return money(F.col("net_revenue") - F.coalesce(F.col("total_cost"), F.lit(0)))
+
+
+def margin_pct() -> Column:
+    return quotient(margin_amount(), "net_revenue")
+
+
+def complete(rolled: DataFrame, contracts: DataFrame, adjustments: DataFrame, exact_ratio: bool = False) -> DataFrame:
+    """Base mart of some rolled-up months: every row depends on its own month and the processes alone."""
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
-    months = with_approved_adjustment(roll_up(entries).filter("revenue_rows > 0"), adjustments)
+    months = with_approved_adjustment(rolled, adjustments)
     joined = months.join(contracts, "contract_key").join(
         adjustment_summary(adjustments), "contract_key", "left"
     )
@@ -184,18 +211,15 @@ def monthly_base(
         "total_cost", "budget_cost", "extraordinary_cost", *OPERATION_MEASURES, *INCIDENT_MEASURES,
         "open_adjustment_count", "approved_retroactive_amount",
     ]
-    # amounts stay decimal(18,2): wider decimals are copied as byte arrays, row by row
-    margin = money(F.col("net_revenue") - F.col("total_cost"))
-    margin_pct = quotient(margin, "net_revenue")
     return (
         joined.withColumns({c: zero(c) for c in zero_filled})
         .withColumnRenamed("penalties", "revenue_penalties")
         .withColumns(
             {
                 "date_key": date_key("reference_month"),
-                "contribution_margin": margin,
-                "contribution_margin_pct": margin_pct.cast("decimal(18,4)"),
-                "margin_gap_pct": (margin_pct - F.col("target_margin_pct")).cast("decimal(18,4)"),
+                "contribution_margin": margin_amount(),
+                "contribution_margin_pct": margin_pct().cast("decimal(18,4)"),
+                "margin_gap_pct": (margin_pct() - F.col("target_margin_pct")).cast("decimal(18,4)"),
                 "coverage_rate": rate("filled_positions", "planned_positions"),
                 "overtime_rate": rate("overtime_hours", "regular_hours"),
                 "absenteeism_rate": rate("absence_hours", "planned_hours"),

@@ -123,16 +123,18 @@ def with_history(months: DataFrame) -> DataFrame:
     )
 
 
-def latest_with_history(months: DataFrame) -> DataFrame:
+def latest_with_history(months: DataFrame, source: DataFrame | None = None) -> DataFrame:
     """Rows of the latest month with their history.
 
     Earlier months go through the window as key and margin alone: their other
-    columns would be shuffled and sorted only to be dropped.
+    columns would be shuffled and sorted only to be dropped.  ``source`` may name
+    a frame of all months that has no more than these, if ``months`` lacks earlier ones.
     """
+    source = months if source is None else source
     slim = ["contract_key", "reference_month", "contribution_margin_pct"]
-    newest = F.col("reference_month") == months.agg(F.max("reference_month")).scalar()
+    newest = F.col("reference_month") == source.agg(F.max("reference_month")).scalar()
     now = months.filter(newest).select(*slim, F.struct(*[c for c in months.columns if c not in slim]).alias("_row"))
-    earlier = months.filter(~F.coalesce(newest, F.lit(False))).select(*slim, F.lit(None).cast(now.schema["_row"].dataType).alias("_row"))
+    earlier = source.filter(~F.coalesce(newest, F.lit(False))).select(*slim, F.lit(None).cast(now.schema["_row"].dataType).alias("_row"))
     kept = with_history(now.unionByName(earlier)).filter("_row is not null")
     return kept.select(*slim, "_row.*", *HISTORY)
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from contractlens import config
 from contractlens.functions import parse, scalar
 from contractlens.operators import changes, checks, constraints, overlay, quarantine, shape, temporal
-from contractlens.plans import actions, performance, risk, timeline
+from contractlens.plans import actions, base, performance, risk, timeline
 from contractlens.plans.base import hundredths
 from contractlens.plans.measures import rolling_12_months, with_prior_month
 from contractlens.sources.calendar import calendar
@@ -165,6 +165,34 @@ def test_latest_month_with_history_needs_no_other_columns_of_earlier_months(spar
     assert risk.latest_with_history(months.filter("contract_key = 'z'")).count() == 0
 
 
+def test_latest_month_is_completed_alone(spark):
+    """Sums of all months, and the base of the latest one made from its own sums, as the base of all months has it."""
+    sums = ["revenue_rows", *base.REVENUE_MEASURES, *base.COST_MEASURES, *base.OPERATION_MEASURES, *base.INCIDENT_MEASURES, *base.AVERAGES]
+    data = [("a", D(2024, 1, 1), 3), ("a", D(2024, 3, 1), 7), ("a", D(2024, 3, 1), -50), ("a", D(2024, 3, 1), None), ("b", D(2024, 3, 1), 1234567890),
+            ("twice", D(2024, 2, 1), 5), ("twice", D(2024, 3, 1), 9), ("unknown", D(2024, 4, 1), 1), (None, D(2024, 4, 1), 1), ("c", D(2024, 2, 1), 0)]
+    entries = spark.createDataFrame(
+        [(k, m, 1, *(None if n is None else n * (i % 5 + 1) + i % 3 for i in range(len(sums) - 1))) for k, m, n in data],
+        f"contract_key string, reference_month date, {', '.join(f'{c} long' for c in sums)}",
+    )
+    contracts = spark.createDataFrame([(k, Decimal("0.2")) for k in ("a", "b", "c", "twice", "twice")], "contract_key string, target_margin_pct decimal(9,4)")
+    processes = spark.createDataFrame(
+        [("a", 1, "p1", "APPROVED", D(2024, 1, 1), D(2024, 1, 5)), ("a", 2, "p2", "APPROVED", D(2024, 2, 1), D(2024, 2, 5)), ("a", 3, "p3", "PENDING", D(2024, 2, 1), None), ("b", 4, "p4", "APPROVED", D(2024, 5, 1), D(2024, 5, 2))],
+        "contract_key string, adjustment_key long, adjustment_number string, process_status string, expected_date date, approved_date date",
+    ).withColumn("retroactive_amount", F.lit(Decimal("1.50")))
+    every = base.monthly_base(entries, contracts, processes)
+    stored = base.sum_up(entries).filter("revenue_rows > 0")
+    assert {t for c, t in stored.dtypes if c not in base.KEYS} == {"bigint"}  # nothing is derived before the months are stored
+    march = F.col("reference_month") == D(2024, 3, 1)
+    now = base.complete(base.amounts(stored.filter(march)), contracts, processes)
+    assert now.schema == every.schema and rows(now) == rows(every.filter(march)) and now.count() == 4
+    slim = base.amounts(stored).select(*base.KEYS, base.margin_pct().cast("decimal(18,4)").alias("contribution_margin_pct")).join(contracts.select("contract_key"), "contract_key")
+    assert rows(slim) == rows(every, *slim.columns)
+    got, want = risk.latest_with_history(now, slim), risk.latest_with_history(every)
+    assert rows(got) == rows(want, *got.columns) and rows(got, "contract_key", "months_in_history") == [("a", 2), ("b", 1), ("twice", 3), ("twice", 4)]
+    cents = base.amounts(stored).filter("contract_key = 'b'").select("contracted_amount", "net_revenue").first()
+    assert cents == (Decimal("12345678.90"), Decimal("37037036.71"))
+
+
 def test_pivot_is_one_aggregate_by_key(spark, capsys):
     data = [("a", "x", 1), ("a", "x", 3), ("a", "y", None), ("b", "other", 5), ("c", None, 7), (None, "y", 2)]
     wide = shape.pivot_max(spark.createDataFrame(data, "k string, code string, n int"), ["k"], "code", "n", ["x", "y"], fill=0)
