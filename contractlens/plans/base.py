@@ -7,6 +7,7 @@ month exists only where revenue exists.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from decimal import Decimal
 from functools import reduce
 
@@ -118,12 +119,12 @@ def ledger(revenue: DataFrame, cost: DataFrame, operation: DataFrame, incidents:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), entries)
 
 
-def sum_up(entries: DataFrame) -> DataFrame:
+def sum_up(entries: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """Ledger -> one row per contract and month (all facts, one aggregation); amounts still in hundredths."""
     present = set(entries.columns)
     sums = ["revenue_rows", *REVENUE_MEASURES, *COST_MEASURES, *OPERATION_MEASURES, *INCIDENT_MEASURES]
     averages = [src for src in AVERAGES if src in present]
-    return entries.groupBy(*KEYS).agg(
+    return entries.groupBy(*keys).agg(
         *[F.sum(c).alias(c) for c in sums if c in present],
         *[agg(src).alias(f"{name}_{src}") for src in averages for name, agg in (("sum", F.sum), ("n", F.count))],
     )
