@@ -50,3 +50,36 @@ def test_rows_of_one_id_are_queries_and_candidates_of_their_own(spark, monkeypat
     first = [(100, 1, 1, unit), (100, 2, 1, unit), (100, 3, 100, unit // 2)]
     second = [(100, 1, 1, unit // 2), (100, 2, 1, unit // 2), (100, 3, 100, unit // 2)]
     assert got == sorted(first + second)
+
+
+def small_steps(monkeypatch):
+    for name, value in (("BLOCK_ROWS", 64), ("QUERY_ROWS", 4), ("TILE", 16), ("ROUND", 3)):
+        monkeypatch.setattr(nt, name, value)
+
+
+@pytest.mark.parametrize("scale", [1, 50, 3e5])
+@pytest.mark.parametrize("fall", [1.0, 0.7])
+def test_rounds_tiles_heads_and_wide_numbers_match_brute_force(spark, monkeypatch, scale, fall):
+    small_steps(monkeypatch)
+    rng = np.random.default_rng(2)
+    turn = np.linalg.qr(rng.normal(size=(16, 16)))[0]
+    vectors = (rng.normal(size=(500, 16)) * fall ** np.arange(16)) @ turn * scale
+    rows = [(i, v.astype(np.float32).tolist()) for i, v in enumerate(vectors)]
+    got = sorted(tuple(r) for r in nt.top_k(frame(spark, rows), F.col("vec_id") % 100 == 0, 10).collect())
+    assert got == brute(rows, 10)
+
+
+def test_crowds_of_equal_vectors_match_brute_force(spark, monkeypatch):
+    small_steps(monkeypatch)
+    kinds = np.random.default_rng(3).normal(size=(3, 8)).astype(np.float32).tolist()
+    rows = [((i * 37) % 500, kinds[i % 3]) for i in range(500)]
+    got = sorted(tuple(r) for r in nt.top_k(frame(spark, rows), F.col("vec_id") % 100 == 0, 10).collect())
+    assert got == brute(rows, 10)
+
+
+def test_candidates_go_once_and_queries_only_to_blocks_in_reach(spark):
+    vectors = nt.whole_vectors(frame(spark, [(i, [float(8 - i // 2), 0.0]) for i in range(8)]), "vec_id", "embedding")
+    blocks = vectors.withColumn("block", (F.col("vec_id") / 2).cast("int"))
+    asked = vectors.filter("vec_id in (0, 6)").withColumn("least", F.expr("if(vec_id = 0, 8L * 7 * 1024 * 1024, null)"))
+    got = sorted((r.asks, r.key, r.vec_id) for r in nt.pairs_of(blocks, asked, 0, [8192.0, 7168.0, 6144.0, 5120.0], 1).collect())
+    assert got == [(0, i // 2, i) for i in range(8)] + [(1, 0, 0), (1, 0, 6), (1, 1, 0), (1, 1, 6), (1, 2, 6), (1, 3, 6)]
