@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from contractlens.llm.common import materialize, small_batches
+from contractlens.llm.common import materialize, settled, small_batches
 
 SCALE = 1024
 BLOCK_ROWS = 4096  # candidates per block, about, in small tables
@@ -134,13 +134,18 @@ def rotation(total: np.ndarray) -> tuple[np.ndarray, int]:
     return np.ascontiguousarray(vectors), int(min(len(values), np.searchsorted(held, HEAD) + 1))
 
 
+def places(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column of what holds, row by row."""
+    return np.divmod(np.flatnonzero(mask), mask.shape[1])
+
+
 class Block:
     """Candidates of one block, by ascending id, and what is best in them for queries."""
 
-    def __init__(self, batches: list[pa.RecordBatch], turn: np.ndarray, head: int, k: int) -> None:
+    def __init__(self, batches: list[pa.RecordBatch], turn: np.ndarray, head: int, k: int, tile: int) -> None:
         ids = np.concatenate([b.column("vec_id").to_numpy() for b in batches])
         order = np.argsort(ids, kind="stable")
-        self.ids, self.k, self.turn = ids[order], k, turn
+        self.ids, self.k, self.turn, self.tile = ids[order], k, turn, tile
         self.rows = np.concatenate([b.column("row").to_numpy() for b in batches])[order]
         self.whole = np.concatenate([numbers_of(b, len(turn)) for b in batches])[order]
         self.length = np.concatenate([b.column("length").to_numpy() for b in batches])[order]
@@ -176,9 +181,9 @@ class Block:
                 self.rotated = self.turned(self.whole, self.length)
             x, q, spare = self.rotated, self.turned(whole, length), SLACK * self.longest * lengths + 1
         found, new, held = [np.empty(0, np.int64)] * 3, [], 0
-        out = np.empty((len(q), min(TILE, len(x))), np.float32)
-        for at in range(0, len(x), TILE):
-            tile = x[at : at + TILE]
+        out = np.empty((len(q), min(self.tile, len(x))), np.float32)
+        for at in range(0, len(x), self.tile):
+            tile = x[at : at + self.tile]
             product = out[:, : len(tile)] if len(tile) == out.shape[1] else np.empty((len(q), len(tile)), np.float32)
             np.matmul(q, tile.T, out=product)
             low = need.astype(np.float32) if exact else np.nextafter((need - spare).astype(np.float32), np.float32(-np.inf))
@@ -191,9 +196,9 @@ class Block:
             else:
                 near = ~(some < low[:, None])
                 if np.count_nonzero(near) * 32 > near.size:
-                    r, c, score = self.firsts(self.products(whole[asked], slice(at, at + TILE), most), need[asked])
+                    r, c, score = self.firsts(self.products(whole[asked], slice(at, at + self.tile), most), need[asked])
                 else:
-                    r, c = np.nonzero(near)
+                    r, c = places(near)
                     score = self.pairs(whole[asked], r, at + c, most)
                     keep = score >= need[asked[r]]
                     r, c, score = r[keep], c[keep], score[keep]
@@ -215,10 +220,10 @@ class Block:
         most = self.k + 1
         near = scores >= least[:, None]
         if scores.shape[1] <= most or np.count_nonzero(near) <= 4 * most * len(scores):
-            r, c = np.nonzero(near)
+            r, c = places(near)
             return r, c, scores[r, c]
         last = np.partition(scores, -most, axis=1)[:, -most]
-        r, c = np.nonzero(near & (scores >= last[:, None]))
+        r, c = places(near & (scores >= last[:, None]))
         score = scores[r, c]
         equal = np.flatnonzero(score == last[r])
         place = np.arange(len(equal)) - np.searchsorted(r[equal], r[equal])
@@ -234,7 +239,7 @@ class Block:
 
     def pairs(self, whole: np.ndarray, r: np.ndarray, c: np.ndarray, most: float) -> np.ndarray:
         """Exact scores of pairs."""
-        kind = np.float64 if most < 2**52 else np.int64
+        kind = np.float64 if most < 2**52 else np.int64  # float64: whole numbers below 2**53 multiply and add exactly
         out = np.empty(len(r), np.int64)
         for at in range(0, len(r), 8192):
             some = slice(at, at + 8192)
@@ -254,6 +259,7 @@ class Block:
 
 def scorer(turn: np.ndarray, head: int, k: int):
     """Rows by key, a block's candidates before its queries -> per query the block's best k that can still count."""
+    together, tile = QUERY_ROWS, TILE
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held, block = None, [], None
@@ -269,9 +275,9 @@ def scorer(turn: np.ndarray, head: int, k: int):
                     held.append(batch.slice(at, end - at))
                     continue
                 if block is None and held:
-                    block, held = Block(held, turn, head, k), []
-                for some in range(at, end if block else at, QUERY_ROWS):
-                    yield block.best(batch.slice(some, min(QUERY_ROWS, end - some)))
+                    block, held = Block(held, turn, head, k, tile), []
+                for some in range(at, end if block else at, together):
+                    yield block.best(batch.slice(some, min(together, end - some)))
 
     return run
 
@@ -296,21 +302,14 @@ def top_k(
     """
     spark = vectors.sparkSession
     small_batches(spark)
-    whole = materialize(whole_vectors(vectors, vec_id, embedding), "vectors")
-    n, dim = whole.agg(F.count("*"), F.max("size")).first()
-    empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    if not n or not dim:
-        return empty
-    queries = materialize(whole.filter(is_query), "queries")
+    blocks = settled(spark, lambda: dealt(whole_vectors(vectors, vec_id, embedding), is_query), "blocks")  # without its copy by row
+    n, dim, last = blocks.agg(F.count("*"), F.max("size"), F.max("block")).first()
+    queries = materialize(blocks.drop("block").filter(is_query), "queries")
     asked = queries.count()
-    if not asked:
-        return empty
-    turn, head = rotation(gram(whole, dim, numbers_of))
-    # With as many candidates in a block as there are queries, sending all queries to all blocks doubles the rows.
-    parts = -(-n // max(1, min(max(BLOCK_ROWS, asked, n // BLOCKS), BLOCK_NUMBERS // dim)))
-    blocks = materialize(
-        whole.repartitionByRange(parts, F.desc("length"), "vec_id", "row").withColumn("block", F.spark_partition_id()), "blocks"
-    )
+    if not n or not dim or not asked:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    turn, head = rotation(gram(blocks, dim, numbers_of))
+    parts = last + 1
     longest = {r[0]: float(np.sqrt(r[1])) for r in blocks.groupBy("block").agg(F.max("length")).collect()}  # a number per block
     best, at, size = None, 0, 1
     while at < parts:
@@ -323,6 +322,16 @@ def top_k(
     return best.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
+def dealt(vectors: DataFrame, is_query: Column) -> DataFrame:
+    """Vectors with their block, the longest first."""
+    whole = materialize(vectors, "vectors")
+    n, dim, asked = whole.agg(F.count("*"), F.max("size"), F.count(F.when(is_query, 1))).first()
+    # With as many candidates in a block as there are queries, sending all queries to all blocks doubles the rows.
+    rows = max(1, min(max(BLOCK_ROWS, asked, n // BLOCKS), BLOCK_NUMBERS // max(1, dim or 0)))
+    order = F.desc("length"), "vec_id", "row"
+    return whole.repartitionByRange(max(1, -(-n // rows)), *order).withColumn("block", F.spark_partition_id())
+
+
 def with_floors(queries: DataFrame, best: DataFrame | None, k: int) -> DataFrame:
     """Queries with the least score that can still count; NULL where fewer than k are known."""
     if best is None:
